@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The engine this project re-expresses works on full snapshot files that are
+refreshed by overwrite; it has no stream source, watermark, windowed or
+stateful operator.  Nothing is built here on purpose (no operator beyond
+what the batch engine does).  A user who lands snapshot files continuously
+can call :func:`salesmart.plans.pipeline.run_pipeline` per landed snapshot.
+"""
