@@ -324,6 +324,10 @@ def build() -> dict[str, str]:
     sql["raw_customers"] = "WITH " + SRC_CUSTOMERS + " SELECT * FROM src_customers"
     sql["raw_products"] = "WITH " + SRC_PRODUCTS + " SELECT * FROM src_products"
     sql["raw_orders"] = "WITH " + SRC_ORDERS + " SELECT * FROM src_orders"
+    # file round trips (land in the source format, read back)
+    sql["ingest_customers_xlsx"] = sql["raw_customers"]
+    sql["ingest_products_csv"] = sql["raw_products"]
+    sql["ingest_orders_json"] = sql["raw_orders"]
     # cleaning
     sql["clean_customers"] = "WITH " + SRC_CUSTOMERS + "," + CLN_CUSTOMERS + " SELECT * FROM cln_customers"
     sql["clean_products"] = "WITH " + SRC_PRODUCTS + "," + CLN_PRODUCTS + " SELECT * FROM cln_products"
