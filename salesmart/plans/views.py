@@ -11,6 +11,7 @@ views to tables, reading each parent back from its written table.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from salesmart.functions.cleaning import CLEANERS
 from salesmart.functions.rules import Rule
 from salesmart.operators import marts, star
 from salesmart.operators.quality import annotate, flag_references, load_rules, rule_failure_counts, split
-from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules_df
+from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules
 
 REFERENCE_FLAGS = (CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG)
 
@@ -56,13 +57,14 @@ class RetailViews:
     def __init__(
         self,
         spark: SparkSession,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame | Callable[[], DataFrame]],
         rules: DataFrame | None = None,
         as_of: _dt.date | None = None,
     ):
         self.spark = spark
-        self.raw = raw
-        self.rules_df = rules if rules is not None else shipped_rules_df(spark)
+        self._raw_sources = dict(raw)
+        self.raw: dict[str, DataFrame] = {}
+        self.rules_df = rules
         self.as_of = as_of
         self._rules: dict[str, list[Rule]] = {}
         self._clean: dict[str, DataFrame] = {}
@@ -70,13 +72,26 @@ class RetailViews:
         self._flagged: dict[str, DataFrame] = {}
 
     def rules(self, dataset: str) -> list[Rule]:
+        """Active rules: from the given rules table, else the shipped catalog."""
+
         if dataset not in self._rules:
-            self._rules[dataset] = load_rules(self.rules_df, dataset)
+            if self.rules_df is None:
+                self._rules[dataset] = shipped_rules(dataset)
+            else:
+                self._rules[dataset] = load_rules(self.rules_df, dataset)
         return self._rules[dataset]
 
+    def source(self, dataset: str) -> DataFrame:
+        """The raw dataset (built on first use)."""
+
+        if dataset not in self.raw:
+            src = self._raw_sources[dataset]
+            self.raw[dataset] = src() if callable(src) else src
+        return self.raw[dataset]
+
     def clean(self, dataset: str) -> DataFrame:
         if dataset not in self._clean:
-            self._clean[dataset] = CLEANERS[dataset](self.raw[dataset])
+            self._clean[dataset] = CLEANERS[dataset](self.source(dataset))
         return self._clean[dataset]
 
     def checkable(self, dataset: str) -> DataFrame:

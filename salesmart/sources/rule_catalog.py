@@ -86,6 +86,24 @@ def shipped_rules_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SHIPPED_RULES, RULES)
 
 
+RULE_FIELDS = (
+    "rule_id", "dataset_name", "rule_group", "rule_name", "rule_type", "column_name",
+    "rule_parameter", "failure_reason", "rule_order", "is_active",
+)
+
+
+def shipped_rules(dataset_name: str):
+    """Active shipped rules of one dataset in evaluation order, without a
+    Spark job (same filter and order as ``active_rules_df``)."""
+
+    from salesmart.functions.rules import Rule, validate
+
+    rows = [dict(zip(RULE_FIELDS, r)) for r in SHIPPED_RULES]
+    rows = [r for r in rows if r["dataset_name"] == dataset_name and r["is_active"]]
+    rows.sort(key=lambda r: (r["rule_order"], r["rule_id"]))
+    return [validate(Rule.of(r)) for r in rows]
+
+
 def active_rules_df(rules: DataFrame, dataset_name: str) -> DataFrame:
     """Active rules of one dataset in evaluation order.
 
