@@ -16,6 +16,7 @@ import datetime as _dt
 import json
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -197,10 +198,20 @@ def failure_reasons(rules: Iterable[Rule | Mapping], as_of: _dt.date | None = No
     as a single projection instead of one per rule.
     """
 
-    checks = [
-        F.when(~F.coalesce(condition(r, as_of), F.lit(False)), F.lit(Rule.of(r).failure_reason))
-        for r in rules
-    ]
+    return _failure_reasons(tuple(validate(Rule.of(r)) for r in rules), as_of, _jvm_id())
+
+
+def _jvm_id() -> int:
+    from pyspark import SparkContext
+
+    return id(SparkContext._active_spark_context)
+
+
+@lru_cache(maxsize=128)
+def _failure_reasons(rules: tuple[Rule, ...], as_of, _jvm: int) -> Column:
+    # Compiled once per rule list (and JVM): column expressions are
+    # unresolved, so the same Column is reused by every plan built on it.
+    checks = [F.when(~F.coalesce(condition(r, as_of), F.lit(False)), F.lit(r.failure_reason)) for r in rules]
     if not checks:
         return F.array().cast("array<string>")
     return F.array_distinct(F.array_compact(F.array(*checks)))

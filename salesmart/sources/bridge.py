@@ -66,8 +66,16 @@ def _metadata(df: DataFrame, file_name: str) -> DataFrame:
     })
 
 
+def zero_pad(key: Column, width: int) -> Column:
+    """Decimal text of a non-negative key, left-padded with zeros to
+    ``width`` and never truncated (same text as printf('%0<width>d'))."""
+
+    text = key.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def customer_key_text(key: Column) -> Column:
-    return F.concat(F.lit("cu-"), F.format_string("%05d", key))
+    return F.concat(F.lit("cu-"), zero_pad(key, 5))
 
 
 def product_prefix(key: Column) -> Column:
@@ -75,7 +83,7 @@ def product_prefix(key: Column) -> Column:
 
 
 def product_key_text(prefix: Column, key: Column) -> Column:
-    return F.concat(prefix, F.lit("-pt-"), F.format_string("%08d", key))
+    return F.concat(prefix, F.lit("-pt-"), zero_pad(key, 8))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +104,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(k, 89, 11), F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit(".example.com")))
         .otherwise(F.concat(F.upper(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@EXAMPLE.COM")))
         .alias("email"),
-        F.concat(F.lit("+1-555-"), F.format_string("%07d", k)).alias("phone"),
+        F.concat(F.lit("+1-555-"), zero_pad(k, 7)).alias("phone"),
         F.when(_every(k, 131, 17), F.lit("   ")).otherwise(F.concat(k.cast("string"), F.lit(" Main Street"))).alias("address"),
         F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Consumer")
         .when(F.col("c_mktsegment") == "BUILDING", "Corporate")

@@ -32,8 +32,9 @@ def _source_shaped(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*[F.col(snake_case(n)).alias(n) for n in names])
 
 
-def _per_partition_files(df: DataFrame, directory: str, suffix: str, encode) -> int:
-    """Write each partition of ``df`` to ``directory/part-NNNNN<suffix>``."""
+def _per_partition_files(df: DataFrame, directory: str, suffix: str, write_rows) -> int:
+    """Each task streams its partition to ``directory/part-NNNNN<suffix>``
+    (batch by batch; a retried task rewrites the same file)."""
 
     target = local_dir(directory)
     if target is None:
@@ -44,32 +45,42 @@ def _per_partition_files(df: DataFrame, directory: str, suffix: str, encode) ->
         import pandas as pd
         from pyspark import TaskContext
 
-        frames = list(batches)
-        pdf = pd.concat(frames) if frames else pd.DataFrame(columns=columns)
-        pdf = pdf.astype(object).where(pdf.notna(), None)
+        def row_batches():
+            for pdf in batches:
+                pdf = pdf.astype(object).where(pdf.notna(), None)
+                yield [list(r) for r in pdf.itertuples(index=False, name=None)]
+
         os.makedirs(target, exist_ok=True)
-        part = TaskContext.get().partitionId()
-        path = os.path.join(target, f"part-{part:05d}{suffix}")
-        rows = [list(r) for r in pdf.itertuples(index=False, name=None)]
+        path = os.path.join(target, f"part-{TaskContext.get().partitionId():05d}{suffix}")
         with open(path + ".tmp", "wb") as fh:
-            fh.write(encode(columns, rows))
+            n = write_rows(fh, columns, row_batches())
         os.replace(path + ".tmp", path)
-        yield pd.DataFrame({"rows": [len(rows)]})
+        yield pd.DataFrame({"rows": [n]})
 
     return int(df.mapInPandas(write, "rows long").agg(F.sum("rows")).first()[0] or 0)
 
 
-def _json_array(columns, rows) -> bytes:
+def _json_array(fh, columns, row_batches) -> int:
+    """A JSON array of objects, one object per row, streamed."""
+
     def plain(v):
         return v.item() if hasattr(v, "item") else v
 
-    return json.dumps([{c: plain(v) for c, v in zip(columns, r)} for r in rows], indent=1).encode("utf-8")
+    n = 0
+    fh.write(b"[")
+    for batch in row_batches:
+        for r in batch:
+            fh.write((",\n" if n else "\n").encode())
+            fh.write(json.dumps({c: plain(v) for c, v in zip(columns, r)}).encode("utf-8"))
+            n += 1
+    fh.write(b"\n]\n")
+    return n
 
 
-def _workbook(columns, rows) -> bytes:
-    from salesmart.sources.xlsx import workbook_bytes
+def _workbook(fh, columns, row_batches) -> int:
+    from salesmart.sources.xlsx import write_workbook
 
-    return workbook_bytes(columns, rows)
+    return write_workbook(fh, columns, row_batches)
 
 
 def land(spark: SparkSession, raw: dict[str, DataFrame], landing: str | None = None,

@@ -249,7 +249,9 @@ def read_xlsx(
 
     def parse(batches):
         for batch in batches:
-            for content in batch.column("content").to_pylist():
+            contents = batch.column("content")
+            for i in range(batch.num_rows):
+                content = contents[i].as_py()  # one workbook in Python memory at a time
                 rows = []
                 for row in workbook_rows(content, schema, address, header, empty_as_null):
                     rows.append(row)
@@ -288,34 +290,52 @@ def _col_letters(i: int) -> str:
     return s
 
 
-def workbook_bytes(header: list[str], rows, sheet: str = "Worksheet", inline_strings: bool = False) -> bytes:
-    """A one-sheet workbook; str cells as shared (or inline) strings, numbers
-    as numeric cells, None as a missing cell."""
+def write_workbook(fh, header: list[str], row_batches, sheet: str = "Worksheet") -> int:
+    """Stream a one-sheet workbook to the binary file ``fh``: rows come in
+    batches and are written as they arrive (inline strings, so no string
+    table has to be held in memory).  Returns the number of data rows."""
 
-    shared: dict[str, int] = {}
-    body = []
-
-    def cell(ref: str, v) -> str:
-        if v is None:
-            return ""
-        if isinstance(v, bool):
-            return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
-        if isinstance(v, (int, float, Decimal)):
-            return f'<c r="{ref}"><v>{v}</v></c>'
-        v = str(v)
-        if inline_strings:
-            return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_text(v)}</t></is></c>'
-        idx = shared.setdefault(v, len(shared))
-        return f'<c r="{ref}" t="s"><v>{idx}</v></c>'
-
-    for r, values in enumerate([header, *rows], start=1):
-        cells = "".join(cell(f"{_col_letters(c)}{r}", v) for c, v in enumerate(values))
-        body.append(f'<row r="{r}">{cells}</row>')
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    n = 0
+    with zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED) as zf:
+        for name, text in _package_parts(sheet, with_shared_strings=False).items():
+            zf.writestr(name, text)
+        with zf.open("xl/worksheets/sheet1.xml", "w") as out:
+            out.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet {ns}><sheetData>'.encode())
+            out.write(_row_xml(1, header, inline=True, shared=None).encode("utf-8"))
+            for batch in row_batches:
+                for values in batch:
+                    n += 1
+                    out.write(_row_xml(n + 1, values, inline=True, shared=None).encode("utf-8"))
+            out.write(b"</sheetData></worksheet>")
+    return n
+
+
+def _cell_xml(ref: str, v, inline: bool, shared: dict | None) -> str:
+    if v is None:
+        return ""
+    if isinstance(v, bool):
+        return f'<c r="{ref}" t="b"><v>{int(v)}</v></c>'
+    if isinstance(v, (int, float, Decimal)):
+        return f'<c r="{ref}"><v>{v}</v></c>'
+    v = str(v)
+    if inline:
+        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{_xml_text(v)}</t></is></c>'
+    idx = shared.setdefault(v, len(shared))
+    return f'<c r="{ref}" t="s"><v>{idx}</v></c>'
+
+
+def _row_xml(r: int, values, inline: bool, shared: dict | None) -> str:
+    cells = "".join(_cell_xml(f"{_col_letters(c)}{r}", v, inline, shared) for c, v in enumerate(values))
+    return f'<row r="{r}">{cells}</row>'
+
+
+def _package_parts(sheet: str, with_shared_strings: bool) -> dict[str, str]:
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
-    sheet_xml = f'<?xml version="1.0" encoding="UTF-8"?><worksheet {ns}><sheetData>{"".join(body)}</sheetData></worksheet>'
-    sst = "".join(f'<si><t xml:space="preserve">{_xml_text(s)}</t></si>' for s in shared)
-    files = {
+    sst_type = '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
+    sst_rel = '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
+    return {
         "[Content_Types].xml": (
             '<?xml version="1.0" encoding="UTF-8"?>'
             '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
@@ -323,8 +343,7 @@ def workbook_bytes(header: list[str], rows, sheet: str = "Worksheet", inline_str
             '<Default Extension="xml" ContentType="application/xml"/>'
             '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
             '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-            '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sharedStrings+xml"/>'
-            "</Types>"
+            + (sst_type if with_shared_strings else "") + "</Types>"
         ),
         "_rels/.rels": (
             '<?xml version="1.0" encoding="UTF-8"?>'
@@ -340,14 +359,26 @@ def workbook_bytes(header: list[str], rows, sheet: str = "Worksheet", inline_str
             '<?xml version="1.0" encoding="UTF-8"?>'
             '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
             '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
-            '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
-            "</Relationships>"
-        ),
-        "xl/worksheets/sheet1.xml": sheet_xml,
-        "xl/sharedStrings.xml": (
-            f'<?xml version="1.0" encoding="UTF-8"?><sst {ns} count="{len(shared)}" uniqueCount="{len(shared)}">{sst}</sst>'
+            + (sst_rel if with_shared_strings else "") + "</Relationships>"
         ),
     }
+
+
+def workbook_bytes(header: list[str], rows, sheet: str = "Worksheet", inline_strings: bool = False) -> bytes:
+    """A one-sheet workbook; str cells as shared (or inline) strings, numbers
+    as numeric cells, None as a missing cell."""
+
+    shared: dict[str, int] = {}
+    body = "".join(_row_xml(r, values, inline_strings, shared) for r, values in enumerate([header, *rows], start=1))
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    files = _package_parts(sheet, with_shared_strings=True)
+    files["xl/worksheets/sheet1.xml"] = (
+        f'<?xml version="1.0" encoding="UTF-8"?><worksheet {ns}><sheetData>{body}</sheetData></worksheet>'
+    )
+    sst = "".join(f'<si><t xml:space="preserve">{_xml_text(s)}</t></si>' for s in shared)
+    files["xl/sharedStrings.xml"] = (
+        f'<?xml version="1.0" encoding="UTF-8"?><sst {ns} count="{len(shared)}" uniqueCount="{len(shared)}">{sst}</sst>'
+    )
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for name, text in files.items():

@@ -132,3 +132,25 @@ def test_condition_accepts_dict_rules(spark):
     cond = condition({"rule_type": "POSITIVE", "column_name": "c", "rule_parameter": None, "failure_reason": "R"})
     assert df.select(cond.alias("ok")).first()["ok"] is True
     assert df.select(failure_reasons([]).alias("r")).first()["r"] == []
+
+
+def test_numeric_edge_semantics(spark):
+    """NaN sorts above every number: it passes POSITIVE and fails BETWEEN."""
+
+    df = spark.createDataFrame([(float("nan"),)], "c double")
+    assert annotate(df, [Rule("POSITIVE", "c", "P")]).first()["dq_status"] == "PASSED"
+    assert annotate(df, [Rule("BETWEEN", "c", "B", '{"min":0,"max":1}')]).first()["dq_status"] == "REJECTED"
+
+
+def test_positive_on_text_is_a_cast_error_under_ansi(spark):
+    df = spark.createDataFrame([("abc",)], "c string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        annotate(df, [Rule("POSITIVE", "c", "P")]).collect()
+
+
+def test_regex_dollar_matches_before_final_newline(spark):
+    """Java regex semantics (find, and $ before a trailing newline)."""
+
+    df = spark.createDataFrame([("AB-12345\n",), ("xAB-12345",)], "c string")
+    out = annotate(df, [Rule("REGEX", "c", "R", "^[A-Z]{2}-[0-9]{5}$")]).collect()
+    assert [r["dq_status"] for r in out] == ["PASSED", "REJECTED"]
