@@ -8,8 +8,9 @@ reports   four SQL reports on the mart
 
 Cost model (what differs from a naive stage-by-stage port):
 * each dataset's quality plan is evaluated once: the annotated frame is
-  persisted and both filtered writes read it; row counts come from
-  Observations on the writes, not from extra count jobs;
+  checkpointed to the shared checkpoint folder (lineage cut, durable
+  across executor loss) and both filtered writes read it; row counts come
+  from Observations on the writes, not from extra count jobs;
 * orders are checked against the *written* valid parent tables, so the
   parents' rule plans are not re-run inside the orders plan;
 * the cardinality guard counts the fact join on the join keys only
@@ -25,6 +26,7 @@ from salesmart.functions.cleaning import CLEANERS
 from salesmart.operators import marts, star
 from salesmart.operators.quality import annotate, load_rules, split
 from salesmart.plans.views import check_orders
+from salesmart.session import ensure_checkpoint_dir
 from salesmart.settings import DATASETS, Settings
 from salesmart.sources.files import read_source
 from salesmart.sources.tables import create_zones, overwrite_table, seed_rules
@@ -63,15 +65,28 @@ def ingest(spark: SparkSession, settings: Settings) -> dict:
 
 
 def write_checked(annotated: DataFrame, dataset: str, settings: Settings) -> dict:
-    """Write valid and rejected rows of one annotated dataset (evaluated once)."""
+    """Write valid and rejected rows of one annotated dataset.
 
-    annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+    The rule plan is evaluated once: an eager reliable checkpoint writes it
+    to the shared checkpoint folder (one job, lineage cut) and both
+    filtered writes read that; with ``materialize="persist"`` the rows are
+    cached on the executors instead.
+    """
+
+    if settings.materialize == "checkpoint":
+        ensure_checkpoint_dir(annotated.sparkSession)
+        held = annotated.checkpoint(eager=True)
+    elif settings.materialize == "persist":
+        held = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        raise ValueError(f"Unknown materialize mode: {settings.materialize}")
     try:
-        valid, rejected = split(annotated)
+        valid, rejected = split(held)
         valid_rows = overwrite_table(valid, settings.valid_table(dataset), settings)
         rejected_rows = overwrite_table(rejected, settings.rejected_table(dataset), settings)
     finally:
-        annotated.unpersist()
+        if settings.materialize == "persist":
+            held.unpersist()
     return {
         "valid": valid_rows,
         "rejected": rejected_rows,

@@ -29,6 +29,11 @@ class Settings:
                      ``delta`` when that package is on the classpath).
     ``as_of``        optional fixed date for NOT_FUTURE checks; ``None``
                      means ``current_date()`` of the session time zone.
+    ``materialize``  how a checked dataset is held for its two writes
+                     (valid, rejected): ``"checkpoint"`` (default) writes it
+                     once to the shared ``spark.checkpoint.dir`` and cuts the
+                     lineage, so a lost executor costs no recomputation;
+                     ``"persist"`` caches it on the executors instead.
     """
 
     catalog: str | None = None
@@ -41,6 +46,7 @@ class Settings:
     csv_escape: str = "\\"
     table_format: str = "parquet"
     as_of: _dt.date | None = None
+    materialize: str = "checkpoint"
     extra_write_options: dict = field(default_factory=dict)
 
     def with_(self, **changes) -> "Settings":

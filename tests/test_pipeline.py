@@ -92,3 +92,16 @@ def test_cardinality_guard_stops_before_writing(spark, run):
     with pytest.raises(ValueError, match="changed the number of valid Orders"):
         pipeline.run_enrich(spark, s3)
     assert not spark.catalog.tableExists(s3.enriched_table("customers"))
+
+
+@pytest.mark.parametrize("mode", ["checkpoint", "persist"])
+def test_materialize_modes_give_the_same_split(spark, run, mode):
+    s, _, details = run
+    s4 = s.with_(prefix=f"e2e4{mode}_", materialize=mode)
+    pipeline.setup(spark, s4)
+    for ds in ("customers", "products", "orders"):
+        overwrite_table(spark.table(s.raw_table(ds)), s4.raw_table(ds), s4)
+    out = pipeline.run_quality(spark, s4)
+    for ds in ("customers", "products", "orders"):
+        assert (out[ds]["valid"], out[ds]["rejected"]) == (
+            details["data_quality"][ds]["valid"], details["data_quality"][ds]["rejected"])
