@@ -105,3 +105,14 @@ def test_materialize_modes_give_the_same_split(spark, run, mode):
     for ds in ("customers", "products", "orders"):
         assert (out[ds]["valid"], out[ds]["rejected"]) == (
             details["data_quality"][ds]["valid"], details["data_quality"][ds]["rejected"])
+
+
+def test_sql_reports_equal_dataframe_reports(spark, run):
+    from salesmart.operators import marts
+
+    s, _, _ = run
+    mart = spark.table(s.mart_table)
+    for name, df in pipeline.reports(spark, s).items():
+        expected = marts.REPORTS[name](mart)
+        assert df.columns == expected.columns
+        assert [tuple(r) for r in df.collect()] == [tuple(r) for r in expected.collect()]
