@@ -29,6 +29,13 @@ class Settings:
                      ``delta`` when that package is on the classpath).
     ``as_of``        optional fixed date for NOT_FUTURE checks; ``None``
                      means ``current_date()`` of the session time zone.
+    ``buckets``      optional ``{table_key: (num_buckets, column, ...)}`` to
+                     write tables bucketed (parquet only).  Keys are the
+                     short names ``"customers_valid"``, ``"orders_valid"``,
+                     ``"order_sales"`` ...  Bucketing the valid orders and
+                     the valid customers by ``customer_id`` with the same
+                     count makes the enrichment join shuffle-free when the
+                     customer side is too large to broadcast.
     ``materialize``  how a checked dataset is held for its two writes
                      (valid, rejected): ``"checkpoint"`` (default) writes it
                      once to the shared ``spark.checkpoint.dir`` and cuts the
@@ -47,8 +54,14 @@ class Settings:
     table_format: str = "parquet"
     as_of: _dt.date | None = None
     materialize: str = "checkpoint"
+    buckets: dict = field(default_factory=dict)
     extra_write_options: dict = field(default_factory=dict)
 
+    def bucketing(self, table: str) -> tuple | None:
+        """Bucket spec for a fully qualified table name, if configured."""
+
+        return self.buckets.get(table.rsplit(".", 1)[-1])
+
     def with_(self, **changes) -> "Settings":
         return replace(self, **changes)
 

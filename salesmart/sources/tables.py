@@ -35,6 +35,10 @@ def overwrite_table(df: DataFrame, table: str, settings: Settings) -> int:
         writer = writer.option("overwriteSchema", "true")
     for key, value in settings.extra_write_options.items():
         writer = writer.option(key, value)
+    spec = settings.bucketing(table)
+    if spec:
+        num_buckets, *columns = spec
+        writer = writer.bucketBy(num_buckets, *columns).sortBy(*columns)
     writer.saveAsTable(table)
     return int(observation.get.get("rows", 0))
 

@@ -116,3 +116,29 @@ def test_sql_reports_equal_dataframe_reports(spark, run):
         expected = marts.REPORTS[name](mart)
         assert df.columns == expected.columns
         assert [tuple(r) for r in df.collect()] == [tuple(r) for r in expected.collect()]
+
+
+def test_bucketed_tables_make_the_customer_join_shuffle_free(spark, run):
+    """With both sides bucketed by customer_id (and broadcast off, as when
+    the dimension is large), the enrichment join reads without an exchange
+    on the order side."""
+
+    from salesmart.operators import star
+
+    s, _, _ = run
+    s5 = s.with_(prefix="e2e5_", buckets={"customers_valid": (8, "customer_id"), "orders_valid": (8, "customer_id")})
+    pipeline.setup(spark, s5)
+    for ds in ("customers", "products", "orders"):
+        overwrite_table(spark.table(s.valid_table(ds)), s5.valid_table(ds), s5)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = spark.table(s5.valid_table("orders")).select("customer_id", "row_id")
+        customers = spark.table(s5.valid_table("customers")).select("customer_id", "customer_name")
+        joined = orders.join(customers, "customer_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == spark.table(s.valid_table("orders")).join(
+            spark.table(s.valid_table("customers")).select("customer_id"), "customer_id").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

@@ -107,3 +107,21 @@ def test_hot_and_null_keys_stay_correct(spark):
     counts = {r["dq_status"]: r["n"] for r in ann.groupBy("dq_status").agg(F.count("*").alias("n")).collect()}
     assert counts == {"REJECTED": n // 3, "PASSED": n - n // 3}
     assert duplicate_keys(df, "k").collect()[0]["k"] == "HOT"
+
+
+def test_reference_flags_under_key_skew(spark):
+    """A third of the orders on one customer and a third with no customer."""
+
+    n = 30_000
+    orders = spark.range(n).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("C"), (F.col("id") % 50).cast("string"))).alias("customer_id"),
+    )
+    parents = spark.range(25).select(F.concat(F.lit("C"), (F.col("id") * 2).cast("string")).alias("customer_id"))
+    parents = parents.unionByName(spark.createDataFrame([("HOT",)], "customer_id string"))
+    out = flag_references(orders, [("customer_id", parents, "f")])
+    got = {r["k"]: r["n"] for r in out.groupBy(F.coalesce(F.col("f").cast("string"), F.lit("none")).alias("k"))
+           .agg(F.count("*").alias("n")).collect()}
+    expected_true = n // 3 + orders.where(F.col("customer_id").rlike("^C[0-9]*[02468]$")).count()
+    assert got["true"] == expected_true and got["true"] + got["none"] == n
