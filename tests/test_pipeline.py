@@ -123,8 +123,6 @@ def test_bucketed_tables_make_the_customer_join_shuffle_free(spark, run):
     the dimension is large), the enrichment join reads without an exchange
     on the order side."""
 
-    from salesmart.operators import star
-
     s, _, _ = run
     s5 = s.with_(prefix="e2e5_", buckets={"customers_valid": (8, "customer_id"), "orders_valid": (8, "customer_id")})
     pipeline.setup(spark, s5)

@@ -4,9 +4,9 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from salesmart.operators import marts, star
+from salesmart.schemas import ORDER_SALES_COLUMNS
 
 CUSTOMER_COLS = "customer_id string, customer_name string, email string, phone string, address string, segment string, " \
                 "country string, city string, state string, postal_code string, region string"
@@ -33,7 +33,7 @@ def test_enriched_order(spark):
     orders, customers, products = _frames(spark)
     out = star.order_sales(orders, star.dim_customers(customers), star.dim_products(products))
     row = out.first()
-    assert out.columns == list(__import__("salesmart.schemas", fromlist=["x"]).ORDER_SALES_COLUMNS)
+    assert out.columns == list(ORDER_SALES_COLUMNS)
     assert (row["customer_name"], row["country"], row["category"], row["sub_category"]) == \
         ("Alice Brown", "United States", "Technology", "Phones")
     assert row["profit"] == Decimal("10.13")
