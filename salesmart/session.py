@@ -60,14 +60,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, creating a local one
     only when the session names none (tests, single-machine runs)."""
 
-    current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: name a folder every executor can "
+                "reach (HDFS/object store) before running on a cluster"
+            )
         configured = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
