@@ -8,9 +8,11 @@ Plan shape (per dataset):
 * each UNIQUE column adds one partial aggregate (map-side combined, so a
   key holding a third of all rows costs one row per map task in the
   shuffle) and one left join of the duplicated keys back;
-* each REFERENCE flag adds one left join with the parent's distinct keys.
+* each REFERENCE flag finds the dangling keys on key-only data (distinct
+  keys anti-joined with the parent's keys) and left joins that exception
+  set back.
 
-Joins carry no hints: the duplicated-key and parent-key sides are
+Joins carry no hints: the duplicated-key and dangling-key sides are
 aggregates whose size is only known at runtime, so AQE decides — a
 broadcast hash join when the measured side is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, a sort-merge join
@@ -77,12 +79,30 @@ def add_duplicate_flags(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     return out.select(*[_quoted(c) for c in columns])
 
 
+def dangling_keys(df: DataFrame, key: str, parent: DataFrame, marker: str = "_dq_dangling") -> DataFrame:
+    """Distinct non-null keys of ``df`` that ``parent`` does not have.
+
+    Only key columns move: both sides are partially aggregated to distinct
+    keys before the anti join, so the cost is a shuffle of keys, never of
+    the rows of ``df``.
+    """
+
+    used = df.select(_quoted(key).alias(key)).where(_quoted(key).isNotNull()).distinct()
+    known = parent.select(_quoted(key).alias(key)).where(_quoted(key).isNotNull()).distinct()
+    return used.join(known, on=key, how="left_anti").select(_quoted(key), F.lit(True).alias(marker))
+
+
 def flag_references(
     df: DataFrame,
     references: Sequence[tuple[str, DataFrame, str]],
 ) -> DataFrame:
-    """For each ``(key, parent, flag)``: left join the parent's distinct
-    keys, ``flag`` is TRUE where the key exists and NULL otherwise.
+    """For each ``(key, parent, flag)``: ``flag`` is TRUE where the key exists
+    among the parent's keys and NULL otherwise (also for a NULL key).
+
+    Plan: the *dangling* keys (used but unknown — normally few) are found on
+    key-only data, then left joined back.  With few dangling keys AQE
+    broadcasts that side and the rows of ``df`` are never shuffled, however
+    large the parent key set is; with many it is a sort-merge join.
 
     Output columns follow the original engine's USING joins: the keys move
     to the front, the last-joined key first; the flags are appended.
@@ -90,8 +110,12 @@ def flag_references(
 
     out = df
     for key, parent, flag in references:
-        keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
-        out = out.join(keys.withColumn(flag, F.lit(True)), on=key, how="left")
+        marker = f"_dq_dangling__{flag}"
+        out = (
+            out.join(dangling_keys(df, key, parent, marker), on=key, how="left")
+            .withColumn(flag, F.when(_quoted(key).isNotNull() & _quoted(marker).isNull(), F.lit(True)))
+            .drop(marker)
+        )
     return out
 
 

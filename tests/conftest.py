@@ -24,7 +24,9 @@ def spark():
         "salesmart-tests",
         cores="*",
         shuffle_partitions=8,
-        extra={"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="salesmart-ck-")},
+        # spark.checkpoint.dir comes from the environment's defaults; the
+        # library sets a local one only when none is configured.
+        extra={"spark.sql.warehouse.dir": warehouse},
     )
     yield session
 
