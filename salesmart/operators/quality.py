@@ -92,24 +92,41 @@ def dangling_keys(df: DataFrame, key: str, parent: DataFrame, marker: str = "_dq
     return used.join(known, on=key, how="left_anti").select(_quoted(key), F.lit(True).alias(marker))
 
 
+REFERENCE_STRATEGIES = ("exceptions", "join")
+
+
 def flag_references(
     df: DataFrame,
     references: Sequence[tuple[str, DataFrame, str]],
+    strategy: str = "exceptions",
 ) -> DataFrame:
     """For each ``(key, parent, flag)``: ``flag`` is TRUE where the key exists
     among the parent's keys and NULL otherwise (also for a NULL key).
 
-    Plan: the *dangling* keys (used but unknown — normally few) are found on
-    key-only data, then left joined back.  With few dangling keys AQE
-    broadcasts that side and the rows of ``df`` are never shuffled, however
-    large the parent key set is; with many it is a sort-merge join.
+    ``strategy="exceptions"`` (for table-backed inputs, the default): the
+    *dangling* keys (used but unknown — normally few) are found on key-only
+    data, then left joined back.  With few dangling keys AQE broadcasts
+    that side and the rows of ``df`` are never shuffled, however large the
+    parent key set is; with many it is a sort-merge join.  The key-only
+    branch re-reads ``df``: a columnar scan when ``df`` is a table.
+
+    ``strategy="join"``: left join the parent's distinct keys directly (one
+    branch over ``df``; AQE broadcasts the key set when it is measured
+    small, else a sort-merge join shuffles ``df``).  Cheaper when ``df`` is
+    a long lazy plan that a second branch would derive again.
 
     Output columns follow the original engine's USING joins: the keys move
     to the front, the last-joined key first; the flags are appended.
     """
 
+    if strategy not in REFERENCE_STRATEGIES:
+        raise ValueError(f"Unknown reference strategy: {strategy}")
     out = df
     for key, parent, flag in references:
+        if strategy == "join":
+            keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
+            out = out.join(keys.withColumn(flag, F.lit(True)), on=key, how="left")
+            continue
         marker = f"_dq_dangling__{flag}"
         out = (
             out.join(dangling_keys(df, key, parent, marker), on=key, how="left")

@@ -112,6 +112,7 @@ def run_quality(spark: SparkSession, settings: Settings) -> dict:
         spark.table(settings.valid_table("products")),
         load_rules(rules, "orders"),
         settings.as_of,
+        settings.reference_strategy,
     )
     summary["orders"] = write_checked(orders, "orders", settings)
     summary["status"] = SUCCESS

@@ -36,6 +36,10 @@ class Settings:
                      the valid customers by ``customer_id`` with the same
                      count makes the enrichment join shuffle-free when the
                      customer side is too large to broadcast.
+    ``reference_strategy``  how REFERENCE flags are computed: ``"exceptions"``
+                     (default; dangling keys found on key-only data and
+                     joined back, so the order rows are not shuffled) or
+                     ``"join"`` (left join with the parents' key sets).
     ``materialize``  how a checked dataset is held for its two writes
                      (valid, rejected): ``"checkpoint"`` (default) writes it
                      once to the shared ``spark.checkpoint.dir`` and cuts the
@@ -54,6 +58,7 @@ class Settings:
     table_format: str = "parquet"
     as_of: _dt.date | None = None
     materialize: str = "checkpoint"
+    reference_strategy: str = "exceptions"
     buckets: dict = field(default_factory=dict)
     extra_write_options: dict = field(default_factory=dict)
 

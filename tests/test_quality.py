@@ -125,3 +125,12 @@ def test_reference_flags_under_key_skew(spark):
            .agg(F.count("*").alias("n")).collect()}
     expected_true = n // 3 + orders.where(F.col("customer_id").rlike("^C[0-9]*[02468]$")).count()
     assert got["true"] == expected_true and got["true"] + got["none"] == n
+
+
+def test_reference_strategies_agree(spark):
+    orders = spark.createDataFrame([(1, "A"), (2, None), (3, "Z"), (4, "A")], "row_id long, k string")
+    parent = spark.createDataFrame([("A",), ("A",), (None,), ("B",)], "k string")
+    a = flag_references(orders, [("k", parent, "f")], "exceptions")
+    b = flag_references(orders, [("k", parent, "f")], "join")
+    assert a.columns == b.columns == ["k", "row_id", "f"]
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
