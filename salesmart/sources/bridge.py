@@ -26,6 +26,10 @@ CUSTOMER_FILE, PRODUCT_FILE, ORDER_FILE = "Customer.xlsx", "Products.csv", "Orde
 _RELATIONS: dict[tuple[int, str], DataFrame] = {}
 
 
+# Fixed-size lookup tables (25 nations, 5 regions): never worth spreading.
+_LOOKUPS = ("nation", "region")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet relation, resolved once per session (file listing and
     footer schema reads are not repeated for every query built on it)."""
@@ -33,7 +37,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _RELATIONS:
-        _RELATIONS[key] = spread(spark.read.parquet(path))
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df if name in _LOOKUPS else spread(df)
     return _RELATIONS[key]
 
 
