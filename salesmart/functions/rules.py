@@ -214,4 +214,7 @@ def _failure_reasons(rules: tuple[Rule, ...], as_of, _jvm: int) -> Column:
     checks = [F.when(~F.coalesce(condition(r, as_of), F.lit(False)), F.lit(r.failure_reason)) for r in rules]
     if not checks:
         return F.array().cast("array<string>")
-    return F.array_distinct(F.array_compact(F.array(*checks)))
+    reasons = F.array_compact(F.array(*checks))
+    # The per-row de-duplication is only needed when two rules share a reason.
+    shared = len({r.failure_reason for r in rules}) < len(rules)
+    return F.array_distinct(reasons) if shared else reasons

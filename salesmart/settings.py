@@ -34,6 +34,8 @@ class Settings:
                      short names ``"customers_valid"``, ``"orders_valid"``,
                      ``"order_sales"`` ...  Bucketing the valid orders and
                      the valid customers by ``customer_id`` with the same
+                     count (under ``materialize="partitioned"`` the keys are
+                     ``"orders_checked"`` / ``"customers_checked"``)
                      count makes the enrichment join shuffle-free when the
                      customer side is too large to broadcast.
     ``reference_strategy``  how REFERENCE flags are computed: ``"exceptions"``
@@ -41,10 +43,14 @@ class Settings:
                      joined back, so the order rows are not shuffled) or
                      ``"join"`` (left join with the parents' key sets).
     ``materialize``  how a checked dataset is held for its two writes
-                     (valid, rejected): ``"checkpoint"`` (default) writes it
+                     (valid, rejected): ``"checkpoint"`` writes it
                      once to the shared ``spark.checkpoint.dir`` and cuts the
                      lineage, so a lost executor costs no recomputation;
-                     ``"persist"`` caches it on the executors instead.
+                     ``"persist"`` caches it on the executors instead;
+                     ``"partitioned"`` (default) writes it once to
+                     ``quality.<ds>_checked`` partitioned by ``dq_status``
+                     and makes ``<ds>_valid`` / ``<ds>_rejected`` views
+                     over one partition each (one job, one write).
     """
 
     catalog: str | None = None
@@ -57,7 +63,7 @@ class Settings:
     csv_escape: str = "\\"
     table_format: str = "parquet"
     as_of: _dt.date | None = None
-    materialize: str = "checkpoint"
+    materialize: str = "partitioned"
     reference_strategy: str = "exceptions"
     buckets: dict = field(default_factory=dict)
     extra_write_options: dict = field(default_factory=dict)

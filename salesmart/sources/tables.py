@@ -25,12 +25,41 @@ def create_zones(spark: SparkSession, settings: Settings) -> list[str]:
     return names
 
 
-def overwrite_table(df: DataFrame, table: str, settings: Settings) -> int:
-    """Replace ``table`` (data and schema) with ``df``; return rows written."""
-
+def drop_if(spark: SparkSession, name: str, kind: str) -> None:
+    """Drop ``name`` if it exists as a ``"VIEW"`` or as a table (``"TABLE"``),
+    so a run can switch an output between a table and a view."""
+
+    if not spark.catalog.tableExists(name):
+        return
+    is_view = spark.catalog.getTable(name).tableType == "VIEW"
+    if kind == "VIEW" and is_view:
+        spark.sql(f"DROP VIEW {name}")
+    elif kind == "TABLE" and not is_view:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def overwrite_table(
+    df: DataFrame,
+    table: str,
+    settings: Settings,
+    partition_by: tuple[str, ...] = (),
+    counts: dict | None = None,
+) -> int | dict:
+    """Replace ``table`` (data and schema) with ``df``; return rows written.
+
+    ``counts`` maps names to boolean columns: the write then returns
+    ``{name: rows where the column is true}`` from the same Observation.
+    """
+
+    drop_if(df.sparkSession, table, "VIEW")
     observation = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(cond).alias(name) for name, cond in (counts or {}).items()
+    ]
+    observed = df.observe(observation, *metrics)
     writer = observed.write.format(settings.table_format).mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if settings.table_format == "delta":
         writer = writer.option("overwriteSchema", "true")
     for key, value in settings.extra_write_options.items():
@@ -40,7 +69,17 @@ def overwrite_table(df: DataFrame, table: str, settings: Settings) -> int:
         num_buckets, *columns = spec
         writer = writer.bucketBy(num_buckets, *columns).sortBy(*columns)
     writer.saveAsTable(table)
-    return int(observation.get.get("rows", 0))
+    got = observation.get
+    if counts:
+        return {name: int(got.get(name, 0)) for name in counts}
+    return int(got.get("rows", 0))
+
+
+def replace_view(spark: SparkSession, view: str, sql: str) -> None:
+    """CREATE OR REPLACE VIEW (a table of that name is dropped first)."""
+
+    drop_if(spark, view, "TABLE")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {sql}")
 
 
 def seed_rules(spark: SparkSession, settings: Settings, rules: DataFrame | None = None) -> int:

@@ -94,7 +94,7 @@ def test_cardinality_guard_stops_before_writing(spark, run):
     assert not spark.catalog.tableExists(s3.enriched_table("customers"))
 
 
-@pytest.mark.parametrize("mode", ["checkpoint", "persist"])
+@pytest.mark.parametrize("mode", ["checkpoint", "persist", "partitioned"])
 def test_materialize_modes_give_the_same_split(spark, run, mode):
     s, _, details = run
     s4 = s.with_(prefix=f"e2e4{mode}_", materialize=mode)
@@ -140,3 +140,23 @@ def test_bucketed_tables_make_the_customer_join_shuffle_free(spark, run):
             spark.table(s.valid_table("customers")).select("customer_id"), "customer_id").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_partitioned_mode_views_prune_and_feed_enrichment(spark, run):
+    s, _, details = run
+    s6 = s.with_(prefix="e2e6_", materialize="partitioned")
+    pipeline.setup(spark, s6)
+    for ds in ("customers", "products", "orders"):
+        overwrite_table(spark.table(s.raw_table(ds)), s6.raw_table(ds), s6)
+    pipeline.run_quality(spark, s6)
+    valid = spark.table(s6.valid_table("orders"))
+    assert valid.columns == spark.table(s.valid_table("orders")).columns
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dq_status" in plan and "(dq_status" in plan and "= PASSED)" in plan
+    out = pipeline.run_enrich(spark, s6)
+    assert out["row_counts"]["order_sales"] == details["data_quality"]["orders"]["valid"]
+    # switching back to tables replaces the views
+    s7 = s6.with_(materialize="checkpoint")
+    pipeline.run_quality(spark, s7)
+    assert spark.catalog.getTable(s7.valid_table("orders")).tableType != "VIEW"
