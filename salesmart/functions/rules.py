@@ -201,14 +201,15 @@ def failure_reasons(rules: Iterable[Rule | Mapping], as_of: _dt.date | None = No
     return _failure_reasons(tuple(validate(Rule.of(r)) for r in rules), as_of, _jvm_id())
 
 
-def _jvm_id() -> int:
+def _jvm_id() -> str:
     from pyspark import SparkContext
 
-    return id(SparkContext._active_spark_context)
+    sc = SparkContext._active_spark_context
+    return f"{id(sc)}:{sc.applicationId}" if sc is not None else "none"
 
 
 @lru_cache(maxsize=128)
-def _failure_reasons(rules: tuple[Rule, ...], as_of, _jvm: int) -> Column:
+def _failure_reasons(rules: tuple[Rule, ...], as_of, _jvm: str) -> Column:
     # Compiled once per rule list (and JVM): column expressions are
     # unresolved, so the same Column is reused by every plan built on it.
     checks = [F.when(~F.coalesce(condition(r, as_of), F.lit(False)), F.lit(r.failure_reason)) for r in rules]

@@ -23,7 +23,7 @@ from salesmart.functions.rules import US_STATES
 CUSTOMER_FILE, PRODUCT_FILE, ORDER_FILE = "Customer.xlsx", "Products.csv", "Orders.json"
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 # Fixed-size lookup tables (25 nations, 5 regions): never worth spreading.
@@ -35,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footer schema reads are not repeated for every query built on it)."""
 
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _RELATIONS:
         df = spark.read.parquet(path)
         _RELATIONS[key] = df if name in _LOOKUPS else spread(df)
