@@ -377,4 +377,8 @@ def build() -> dict[str, str]:
     )
     order_all = ", ".join(f"{c.strip()} NULLS FIRST" for c in ORDER_RAW_COLS.split(","))
     sql["preview_raw_orders"] = "WITH " + SRC_ORDERS + f" SELECT * FROM src_orders ORDER BY {order_all} LIMIT 20"
+    order_c = ", ".join(f"{c.strip()} NULLS FIRST" for c in CUSTOMER_COLS.split(","))
+    sql["preview_raw_customers"] = "WITH " + SRC_CUSTOMERS + f" SELECT * FROM src_customers ORDER BY {order_c} LIMIT 20"
+    order_p = ", ".join(f"{c.strip()} NULLS FIRST" for c in PRODUCT_COLS.split(","))
+    sql["preview_raw_products"] = "WITH " + SRC_PRODUCTS + f" SELECT * FROM src_products ORDER BY {order_p} LIMIT 20"
     return sql
