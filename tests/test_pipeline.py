@@ -160,3 +160,14 @@ def test_partitioned_mode_views_prune_and_feed_enrichment(spark, run):
     s7 = s6.with_(materialize="checkpoint")
     pipeline.run_quality(spark, s7)
     assert spark.catalog.getTable(s7.valid_table("orders")).tableType != "VIEW"
+
+
+def test_command_line_runs_the_pipeline(spark, run, capsys):
+    from salesmart.__main__ import main
+
+    s, _, details = run
+    assert main(["--landing", s.landing, "--prefix", "cli_"]) == 0
+    out = capsys.readouterr().out
+    assert "aggregation" in out and "SUCCESS" in out
+    assert spark.table("cli_analytics.profit_by_year_category_subcategory_customer").count() == \
+        details["aggregation"]["rows_written"]
