@@ -104,6 +104,18 @@ def shipped_rules(dataset_name: str):
     return [validate(Rule.of(r)) for r in rows]
 
 
+def rules_from_file(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """A rule catalog kept as a file (JSON lines, or CSV with a header),
+    read with the fixed rules schema; seed it with ``tables.seed_rules``."""
+
+    reader = spark.read.schema(RULES)
+    if fmt == "json":
+        return reader.json(path)
+    if fmt == "csv":
+        return reader.option("header", True).option("escape", '"').csv(path)
+    raise ValueError(f"Unsupported rules file format: {fmt}")
+
+
 def active_rules_df(rules: DataFrame, dataset_name: str) -> DataFrame:
     """Active rules of one dataset in evaluation order.
 

@@ -154,3 +154,20 @@ def test_regex_dollar_matches_before_final_newline(spark):
     df = spark.createDataFrame([("AB-12345\n",), ("xAB-12345",)], "c string")
     out = annotate(df, [Rule("REGEX", "c", "R", "^[A-Z]{2}-[0-9]{5}$")]).collect()
     assert [r["dq_status"] for r in out] == ["PASSED", "REJECTED"]
+
+
+def test_rules_from_files_round_trip(spark, tmp_dir):
+    import json
+
+    from salesmart.sources.rule_catalog import RULE_FIELDS, rules_from_file
+
+    rows = [dict(zip(RULE_FIELDS, r)) for r in SHIPPED_RULES]
+    with open(f"{tmp_dir}/rules.jsonl", "w") as fh:
+        fh.write("\n".join(json.dumps(r) for r in rows))
+    shipped_rules_df(spark).write.option("header", True).option("escape", '"').csv(f"{tmp_dir}/rules_csv")
+    for path, fmt in ((f"{tmp_dir}/rules.jsonl", "json"), (f"{tmp_dir}/rules_csv", "csv")):
+        df = rules_from_file(spark, path, fmt)
+        assert df.count() == 53
+        assert [r.rule_id for r in load_rules(df, "orders")] == [r.rule_id for r in load_rules(shipped_rules_df(spark), "orders")]
+        pattern = [r.rule_parameter for r in load_rules(df, "orders") if r.rule_id == "ORD_019"][0]
+        assert pattern == '["Standard Class","Second Class","First Class","Same Day"]'
