@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.cleaning import CLEANERS
 from salesmart.functions.rules import Rule
-from salesmart.operators import marts, star
+from salesmart.operators import marts, quality, star
 from salesmart.operators.quality import annotate, flag_references, load_rules, rule_failure_counts, split
 from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules
 
@@ -169,12 +169,9 @@ def without_timestamps(df: DataFrame) -> DataFrame:
     return df.drop("dq_checked_timestamp", "ingestion_timestamp")
 
 
-def status_counts(views: RetailViews) -> DataFrame:
-    """Rows per dataset and status, over all three datasets."""
-
+def _over_datasets(views: RetailViews, per_dataset) -> DataFrame:
     parts = [
-        views.checked(ds).groupBy("dq_status").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(ds).alias("dataset_name"), "dq_status", "row_count")
+        per_dataset(views.checked(ds)).select(F.lit(ds).alias("dataset_name"), "*")
         for ds in ("customers", "products", "orders")
     ]
     out = parts[0]
@@ -183,17 +180,13 @@ def status_counts(views: RetailViews) -> DataFrame:
     return out
 
 
+def status_counts(views: RetailViews) -> DataFrame:
+    """Rows per dataset and status, over all three datasets."""
+
+    return _over_datasets(views, quality.status_counts)
+
+
 def reason_counts(views: RetailViews) -> DataFrame:
     """Rows per dataset and failure reason."""
 
-    parts = [
-        views.checked(ds)
-        .select(F.explode("dq_failure_reasons").alias("failure_reason"))
-        .groupBy("failure_reason").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(ds).alias("dataset_name"), "failure_reason", "row_count")
-        for ds in ("customers", "products", "orders")
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _over_datasets(views, quality.reason_counts)
