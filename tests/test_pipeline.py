@@ -200,3 +200,14 @@ def test_pipeline_outputs_equal_the_sql_oracle(spark, run):
         cols = [c[0] for c in cur.description]
         assert sorted(df.columns) == sorted(cols), key
         assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, cur.fetchall()), key
+
+
+def test_previews(spark, run):
+    from salesmart.operators import marts
+    from salesmart.sources.tables import preview
+
+    s, _, _ = run
+    for table in (s.raw_table("orders"), s.raw_table("products"), s.rules_table, s.raw_table("customers")):
+        assert preview(spark, table).count() == 20
+    ordered = marts.preview(spark.table(s.raw_table("orders")), ["row_id"]).collect()
+    assert [r["row_id"] for r in ordered] == sorted(r["row_id"] for r in ordered)
