@@ -5,7 +5,7 @@ workbook scan is composed from Spark parts: the built-in ``binaryFile``
 source lists and reads the files (any Hadoop path, glob, partition
 discovery; one row per workbook, spread over tasks), and ``mapInArrow``
 parses each workbook inside its task — the sheet XML is streamed with
-``iterparse`` and rows leave the task in Arrow batches.  A workbook is the
+expat and rows leave the task in Arrow batches.  A workbook is the
 unit of parallelism (a zip container is not splittable); land many
 workbooks to read in parallel.
 
@@ -28,6 +28,7 @@ import re
 import zipfile
 from decimal import Decimal, InvalidOperation
 from xml.etree.ElementTree import iterparse
+from xml.parsers import expat
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -70,21 +71,69 @@ def _attr(elem, name: str):
     return None
 
 
+def _expat_feed(fh, parser, drain=None, chunk=1 << 16):
+    """Feed a binary stream to an expat parser chunk by chunk; after every
+    chunk call ``drain`` (which yields what the handlers completed)."""
+
+    while True:
+        data = fh.read(chunk)
+        parser.Parse(data, not data)
+        if drain is not None:
+            yield from drain()
+        if not data:
+            return
+
+
+def _local_names():
+    cache: dict[str, str] = {}
+
+    def local(name: str) -> str:
+        got = cache.get(name)
+        if got is None:
+            got = cache[name] = name.rsplit(":", 1)[-1]
+        return got
+
+    return local
+
+
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
+    """The shared string table: text of every ``<si>`` (rich-text runs
+    joined, phonetic ``<rPh>`` runs left out)."""
+
     if "xl/sharedStrings.xml" not in zf.namelist():
         return []
-    out, parts, in_phonetic = [], [], 0
+    out: list[str] = []
+    parts: list[str] = []
+    local = _local_names()
+    state = {"in_t": False, "phonetic": 0}
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+
+    def start(name, attrs):
+        tag = local(name)
+        if tag == "t" and not state["phonetic"]:
+            state["in_t"] = True
+        elif tag == "rPh":
+            state["phonetic"] += 1
+
+    def end(name):
+        tag = local(name)
+        if tag == "t":
+            state["in_t"] = False
+        elif tag == "rPh":
+            state["phonetic"] -= 1
+        elif tag == "si":
+            out.append("".join(parts))
+            parts.clear()
+
+    def text(data):
+        if state["in_t"]:
+            parts.append(data)
+
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, text
     with zf.open("xl/sharedStrings.xml") as fh:
-        for event, elem in iterparse(fh, events=("start", "end")):
-            tag = _local(elem.tag)
-            if tag == "rPh":
-                in_phonetic += 1 if event == "start" else -1
-            elif event == "end" and tag == "t" and not in_phonetic:
-                parts.append(elem.text or "")
-            elif event == "end" and tag == "si":
-                out.append("".join(parts))
-                parts = []
-                elem.clear()
+        for _ in _expat_feed(fh, parser):
+            pass
     return out
 
 
@@ -119,50 +168,76 @@ def plain_number(text: str) -> str:
 
 
 def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
-    """Yield (row_number, {col_index: text}) for every row of a sheet."""
+    """Yield (row_number, {col_index: text}) for every row of a sheet.
+
+    A streaming expat scan: no element tree is built, memory holds the rows
+    of one 64 KiB chunk at most.
+    """
 
     strings = _shared_strings(zf)
     member = _sheet_member(zf, sheet)
+    local = _local_names()
+    done: list[tuple[int, dict]] = []
+    st = {"row": 0, "next": 1, "cells": {}, "col": 0, "type": None, "value": None, "capture": False}
+    buf: list[str] = []
+    inline: list[str] = []
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+
+    def start(name, attrs):
+        tag = local(name)
+        if tag == "c":
+            ref = attrs.get("r")
+            m = _CELL_REF.match(ref) if ref else None
+            st["col"] = column_index(m.group(1)) if m else len(st["cells"])
+            st["type"], st["value"] = attrs.get("t"), None
+            inline.clear()
+        elif tag == "v" or (tag == "t" and st["type"] == "inlineStr"):
+            st["capture"] = True
+            buf.clear()
+        elif tag == "row":
+            r = attrs.get("r")
+            st["row"] = int(r) if r else st["next"]
+            st["cells"] = {}
+
+    def end(name):
+        tag = local(name)
+        if tag == "v":
+            st["value"], st["capture"] = "".join(buf), False
+        elif tag == "t" and st["capture"]:
+            inline.append("".join(buf))
+            st["capture"] = False
+        elif tag == "c":
+            kind, value = st["type"], st["value"]
+            if kind == "s":
+                text = strings[int(value)] if value is not None else None
+            elif kind == "inlineStr":
+                text = "".join(inline)
+            elif kind == "b":
+                text = None if value is None else ("TRUE" if value.strip() == "1" else "FALSE")
+            elif kind == "e":
+                text = None
+            elif kind in ("str", "d"):
+                text = value
+            else:
+                text = None if value is None else plain_number(value)
+            st["cells"][st["col"]] = text
+        elif tag == "row":
+            done.append((st["row"], st["cells"]))
+            st["next"] = st["row"] + 1
+
+    def chars(data):
+        if st["capture"]:
+            buf.append(data)
+
+    def drain():
+        rows = list(done)
+        done.clear()
+        return rows
+
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, chars
     with zf.open(member) as fh:
-        row_no, cells, next_row = 0, {}, 1
-        cell_col, cell_type, value, inline = 0, None, None, []
-        for event, elem in iterparse(fh, events=("start", "end")):
-            tag = _local(elem.tag)
-            if event == "start":
-                if tag == "row":
-                    r = elem.get("r")
-                    row_no = int(r) if r else next_row
-                    cells = {}
-                    cell_col = 0
-                elif tag == "c":
-                    ref = elem.get("r")
-                    m = _CELL_REF.match(ref) if ref else None
-                    cell_col = column_index(m.group(1)) if m else len(cells)
-                    cell_type, value, inline = elem.get("t"), None, []
-                continue
-            if tag == "v":
-                value = elem.text
-            elif tag == "t" and cell_type == "inlineStr":
-                inline.append(elem.text or "")
-            elif tag == "c":
-                if cell_type == "s":
-                    text = strings[int(value)] if value is not None else None
-                elif cell_type == "inlineStr":
-                    text = "".join(inline)
-                elif cell_type == "b":
-                    text = None if value is None else ("TRUE" if value.strip() == "1" else "FALSE")
-                elif cell_type == "e":
-                    text = None
-                elif cell_type in ("str", "d"):
-                    text = value
-                else:
-                    text = None if value is None else plain_number(value)
-                cells[cell_col] = text
-                elem.clear()
-            elif tag == "row":
-                yield row_no, cells
-                next_row = row_no + 1
-                elem.clear()
+        yield from _expat_feed(fh, parser, drain)
 
 
 def _converter(data_type: T.DataType):
