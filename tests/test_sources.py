@@ -154,3 +154,38 @@ def test_ingest_order_and_empty_source(spark, tmp_dir):
         fh.write(workbook_bytes(header, []))
     with pytest.raises(RuntimeError, match="customers file contains no rows"):
         ingest(spark, s2)
+
+
+def _zip_workbook(path, sheet_xml, sst_xml, prefix=""):
+    import zipfile
+
+    p = f"{prefix}:" if prefix else ""
+    ns = f'xmlns{":" + prefix if prefix else ""}="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rns = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("xl/workbook.xml", f'<{p}workbook {ns} {rns}><{p}sheets><{p}sheet name="Worksheet" sheetId="1" r:id="rId7"/></{p}sheets></{p}workbook>')
+        zf.writestr("xl/_rels/workbook.xml.rels",
+                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                    '<Relationship Id="rId7" Target="/xl/worksheets/data.xml" Type="x"/></Relationships>')
+        zf.writestr("xl/worksheets/data.xml", f'<{p}worksheet {ns}><{p}dimension ref="A1:D3"/><{p}sheetData>{sheet_xml}</{p}sheetData></{p}worksheet>')
+        zf.writestr("xl/sharedStrings.xml", f'<{p}sst {ns}>{sst_xml}</{p}sst>')
+
+
+def test_xlsx_real_world_cell_shapes(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/rw", exist_ok=True)
+    sst = ('<si><t>Name</t></si>'
+           '<si><r><rPr><b/></rPr><t>Jo</t></r><r><t xml:space="preserve">sé </t></r><rPh sb="0" eb="1"><t>JO</t></rPh></si>'
+           '<si><t>Flag</t></si><si><t>Val</t></si><si><t>Calc</t></si>')
+    sheet = ('<row r="1" spans="1:4"><c r="A1" s="3" t="s"><v>0</v></c><c r="B1" t="s"><v>2</v></c>'
+             '<c r="C1" t="s"><v>3</v></c><c r="D1" t="s"><v>4</v></c></row>'
+             '<row r="2"><c r="A2" s="1" t="s"><v>1</v></c><c r="B2" t="b"><v>1</v></c>'
+             '<c r="C2" t="e"><v>#N/A</v></c><c r="D2" t="str"><f>A2&amp;"!"</f><v>José !</v></c></row>'
+             '<row r="4"><c r="A4"><v>1.2345E3</v></c><c r="D4" s="2"/></row>')
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("name", "flag", "val", "calc")])
+    for i, prefix in enumerate(("", "x")):
+        _zip_workbook(f"{tmp_dir}/rw/w{i}.xlsx", sheet.replace("<", f"<{prefix}:").replace(f"<{prefix}:/", f"</{prefix}:") if prefix else sheet,
+                      sst.replace("<", f"<{prefix}:").replace(f"<{prefix}:/", f"</{prefix}:") if prefix else sst, prefix)
+        rows = read_xlsx(spark, f"{tmp_dir}/rw/w{i}.xlsx", schema).collect()
+        assert [tuple(r) for r in rows] == [("José ", "TRUE", None, "José !"), ("1234.5", None, None, None)], prefix
