@@ -70,10 +70,12 @@ def ingest(spark: SparkSession, settings: Settings) -> dict:
 def write_checked(annotated: DataFrame, dataset: str, settings: Settings) -> dict:
     """Write valid and rejected rows of one annotated dataset.
 
-    The rule plan is evaluated once: an eager reliable checkpoint writes it
-    to the shared checkpoint folder (one job, lineage cut) and both
-    filtered writes read that; with ``materialize="persist"`` the rows are
-    cached on the executors instead.
+    The rule plan is evaluated once.  ``materialize="partitioned"``
+    (default): one partitioned write plus two views, see
+    ``write_checked_partitioned``.  ``"checkpoint"``: an eager reliable
+    checkpoint writes the rows to the shared checkpoint folder (one job,
+    lineage cut) and two filtered table writes read that.  ``"persist"``:
+    the rows are cached on the executors for the two writes.
     """
 
     if settings.materialize == "partitioned":
