@@ -29,7 +29,7 @@ from salesmart.functions.cleaning import CLEANERS
 from salesmart.operators import marts, star
 from salesmart.operators.quality import PASSED, REJECTED, annotate, load_rules, split
 from salesmart.plans.views import check_orders
-from salesmart.session import ensure_checkpoint_dir
+from salesmart.session import check_session, ensure_checkpoint_dir
 from salesmart.settings import DATASETS, Settings
 from salesmart.sources.files import read_source
 from salesmart.sources.tables import create_zones, overwrite_table, replace_view, seed_rules
@@ -191,7 +191,8 @@ def run_pipeline(spark: SparkSession, settings: Settings, seed: bool = True) ->
     stage that does not succeed.  Returns a (stage, status) DataFrame and
     the per-stage summaries."""
 
-    details = {"setup": setup(spark, settings) if seed else create_zones(spark, settings)}
+    details = {"session_warnings": check_session(spark)}
+    details["setup"] = setup(spark, settings) if seed else create_zones(spark, settings)
     details["ingestion"] = ingest(spark, settings)
     stages = [("ingestion", SUCCESS)]
     for name, stage in (("data_quality", run_quality), ("enrichment", run_enrich), ("aggregation", run_mart)):

@@ -9,6 +9,7 @@ local runs), never a machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
@@ -91,3 +92,29 @@ def local_dir(path: str) -> str | None:
         while path.startswith("//"):
             path = path[1:]
     return path if os.path.isabs(path) else None
+
+
+# Settings the plans rely on at scale, and what goes wrong without them.
+_EXPECTED = {
+    "spark.sql.adaptive.enabled": ("true", "joins on exception sets and parent keys cannot switch "
+                                           "to broadcast at run time; skewed keys are not split"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "a key holding a large share of rows stays in one task"),
+}
+
+
+def check_session(spark: SparkSession) -> list[str]:
+    """Warnings for session settings the plans depend on (AQE, skew join,
+    a configured checkpoint folder on a cluster); also logged."""
+
+    warnings = []
+    for key, (want, why) in _EXPECTED.items():
+        got = str(spark.conf.get(key, want)).lower()
+        if got != want:
+            warnings.append(f"{key}={got}: {why}")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") and not (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        warnings.append("spark.checkpoint.dir is unset: checkpoints and staged files need a shared folder")
+    log = logging.getLogger("salesmart")
+    for w in warnings:
+        log.warning(w)
+    return warnings

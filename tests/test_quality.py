@@ -134,3 +134,15 @@ def test_reference_strategies_agree(spark):
     b = flag_references(orders, [("k", parent, "f")], "join")
     assert a.columns == b.columns == ["k", "row_id", "f"]
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_session_check_reports_disabled_aqe(spark):
+    from salesmart.session import check_session
+
+    assert check_session(spark) == []
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        warnings = check_session(spark)
+        assert len(warnings) == 1 and "skewJoin" in warnings[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
