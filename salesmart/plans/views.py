@@ -131,7 +131,10 @@ class RetailViews:
         for ds in ("customers", "products", "orders"):
             rules = [r for r in self.rules(ds) if rule_type is None or r.rule_type == rule_type]
             if rules:
-                parts.append(rule_failure_counts(self.checkable(ds), rules, self.as_of))
+                # only REFERENCE rules read the foreign-key flags (and their joins)
+                needs_flags = any(r.rule_type == "REFERENCE" for r in rules)
+                source = self.checkable(ds) if needs_flags else self.clean(ds)
+                parts.append(rule_failure_counts(source, rules, self.as_of))
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
