@@ -9,6 +9,7 @@ local runs), never a machine-local folder on a cluster.
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import os
 import tempfile
@@ -118,3 +119,21 @@ def check_session(spark: SparkSession) -> list[str]:
     for w in warnings:
         log.warning(w)
     return warnings
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, conf: dict):
+    """Set runtime SQL settings for the duration of a block, then restore
+    the caller's values."""
+
+    previous = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in previous.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

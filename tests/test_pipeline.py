@@ -211,3 +211,16 @@ def test_previews(spark, run):
         assert preview(spark, table).count() == 20
     ordered = marts.preview(spark.table(s.raw_table("orders")), ["row_id"]).collect()
     assert [r["row_id"] for r in ordered] == sorted(r["row_id"] for r in ordered)
+
+
+def test_partitioned_write_restores_session_settings(spark, run):
+    s, _, _ = run
+    before = spark.conf.get("spark.sql.optimizer.plannedWrite.enabled", None)
+    s8 = s.with_(prefix="e2e8_")
+    pipeline.setup(spark, s8)
+    overwrite_table(spark.table(s.raw_table("products")), s8.raw_table("products"), s8)
+    overwrite_table(spark.table(s.raw_table("customers")), s8.raw_table("customers"), s8)
+    overwrite_table(spark.table(s.raw_table("orders")), s8.raw_table("orders"), s8)
+    out = pipeline.run_quality(spark, s8)
+    assert out["orders"]["valid"] + out["orders"]["rejected"] == spark.table(s.raw_table("orders")).count()
+    assert spark.conf.get("spark.sql.optimizer.plannedWrite.enabled", None) == before
