@@ -2,7 +2,7 @@
 
     python -m salesmart --landing /mnt/landing [--prefix dev_] [--catalog c]
                         [--format parquet] [--materialize partitioned]
-                        [--reports]
+                        [--reference-strategy exceptions|join] [--reports]
 
 Uses the active session if there is one (``spark-submit``), else a local
 one.  Prints the stage summary and, with ``--reports``, the four reports.
@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--catalog", default=None)
     parser.add_argument("--format", default="parquet", dest="table_format")
     parser.add_argument("--materialize", default="partitioned", choices=["partitioned", "checkpoint", "persist"])
+    parser.add_argument("--reference-strategy", default="exceptions", choices=["exceptions", "join"],
+                        help="how REFERENCE flags are computed (see operators.quality.flag_references)")
     parser.add_argument("--reports", action="store_true", help="print the four reports")
     args = parser.parse_args(argv)
 
@@ -37,6 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     settings = Settings(
         landing=args.landing, prefix=args.prefix, catalog=args.catalog,
         table_format=args.table_format, materialize=args.materialize,
+        reference_strategy=args.reference_strategy,
     )
     summary, details = pipeline.run_pipeline(spark, settings)
     summary.show(truncate=False)
