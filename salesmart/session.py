@@ -137,3 +137,14 @@ def session_conf(spark: SparkSession, conf: dict):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def session_key(spark: SparkSession) -> str:
+    """A key that identifies this session and its application (used to
+    cache plan objects); works where ``sparkContext`` is unavailable."""
+
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session
+        app = "connect"
+    return f"{app}:{id(spark)}"

@@ -19,11 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.rules import US_STATES
+from salesmart.session import session_key
 
 CUSTOMER_FILE, PRODUCT_FILE, ORDER_FILE = "Customer.xlsx", "Products.csv", "Orders.json"
 
 
-_RELATIONS: dict[tuple[str, int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
 # Fixed-size lookup tables (25 nations, 5 regions): never worth spreading.
@@ -35,7 +36,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footer schema reads are not repeated for every query built on it)."""
 
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
+    key = (session_key(spark), path)
     if key not in _RELATIONS:
         df = spark.read.parquet(path)
         _RELATIONS[key] = df if name in _LOOKUPS else spread(df)
@@ -48,10 +49,12 @@ def spread(df: DataFrame) -> DataFrame:
     after it runs on every core.  A no-op for inputs that already have
     enough splits — i.e. always at warehouse scale."""
 
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. Spark Connect): leave it
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def _pick(values: list[str], index: Column) -> Column:
