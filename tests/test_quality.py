@@ -146,3 +146,15 @@ def test_session_check_reports_disabled_aqe(spark):
         assert len(warnings) == 1 and "skewJoin" in warnings[0]
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_spread_only_touches_inputs_with_too_few_splits(spark):
+    from salesmart.sources.bridge import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many) is many  # enough splits (the warehouse case): plan untouched
+    one = spark.range(0, 1000, numPartitions=1)
+    spread_one = spread(one)
+    assert spread_one.rdd.getNumPartitions() == cores
+    assert sorted(r[0] for r in spread_one.collect()) == list(range(1000))
