@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, token_files
+from salesmart.llm import bpe, mixing, token_files
 from salesmart.session import scratch_path
 
 
@@ -37,6 +37,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_path())
@@ -46,9 +50,43 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": op3_bpe,
+        "op7_mixing": op7_mixing,
         "op8_token_files": op8_token_files,
     }
 
 
+OP7_SQL = r"""
+WITH RECURSIVE units AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+),
+weighed AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM units GROUP BY source
+),
+total AS (SELECT sum(source_size)::DOUBLE AS t FROM weighed),
+fill(round, level) AS (
+  SELECT 0, (SELECT t FROM total) / (SELECT sum(w) FROM weighed)
+  UNION ALL
+  SELECT f.round + 1,
+         (SELECT (any_value(t) - sum(CASE WHEN f.level * w > 3 * source_size THEN 3 * source_size ELSE 0 END))
+                 / sum(CASE WHEN f.level * w > 3 * source_size THEN 0 ELSE w END) FROM weighed, total)
+  FROM fill f WHERE f.round < 100
+),
+targets AS (
+  SELECT source, source_size, least(3.0 * source_size, w * (SELECT level FROM fill WHERE round = 100))::DOUBLE AS target FROM weighed
+),
+placed AS (
+  SELECT u.doc_id, u.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS budget,
+         coalesce(sum(u.size) OVER (PARTITION BY u.source ORDER BY md5('mix:' || coalesce(u.doc_id::VARCHAR, 'null')), u.doc_id, u.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM units u JOIN targets t ON u.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+             + greatest(0, least(size, budget - (budget // source_size) * source_size - start)) END)::BIGINT AS taken
+FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": OP7_SQL}
