@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, mixing, token_files
+from salesmart.llm import bpe, minhash, mixing, token_files
 from salesmart.session import scratch_path
 
 
@@ -37,6 +37,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_with_next(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,6 +54,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bpe": op3_bpe,
+        "op5_minhash": op5_minhash,
         "op7_mixing": op7_mixing,
         "op8_token_files": op8_token_files,
     }
