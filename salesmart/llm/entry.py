@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, minhash, mixing, token_files
+from salesmart.llm import bpe, line_rules, minhash, mixing, pii, secrets, token_files
 from salesmart.session import scratch_path
 
 
@@ -25,6 +25,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")), secrets.KINDS[:3])
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     coded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=["doc_id"])
@@ -51,12 +55,25 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.clean(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(pii.scan(_table(spark, sf_dir, "documents")), pii.KINDS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_secrets": op2_secrets,
         "op3_bpe": op3_bpe,
         "op5_minhash": op5_minhash,
         "op7_mixing": op7_mixing,
         "op8_token_files": op8_token_files,
+        "op9_line_rules": op9_line_rules,
+        "op10_pii": op10_pii,
     }
 
 
