@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, line_rules, minhash, mixing, pii, secrets, token_files
+from salesmart.llm import bpe, line_rules, minhash, mixing, ngram_join, pii, secrets, token_files
 from salesmart.session import scratch_path
 
 
@@ -45,6 +45,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secrets": op2_secrets,
         "op3_bpe": op3_bpe,
         "op5_minhash": op5_minhash,
+        "op6_ngram_join": op6_ngram_join,
         "op7_mixing": op7_mixing,
         "op8_token_files": op8_token_files,
         "op9_line_rules": op9_line_rules,

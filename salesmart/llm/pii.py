@@ -118,13 +118,15 @@ def proposals(text: Column, base: Column) -> Column:
             ),
         )
 
-    def featured(p: Column) -> Column:
+    def featured(p: Column, base: Column) -> Column:
         values = [f(p).cast("int").alias(name) for name, _, f in FEATURES]
         is_base = F.exists(base, lambda b: (b["start"] == p["start"]) & (b["end"] == p["end"]))
         clear = ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
         return F.struct(p["start"].alias("start"), p["end"].alias("end"), F.struct(*values).alias("x"), is_base.alias("is_base"), clear.alias("clear"))
 
-    return F.transform(F.concat(*[one(i, pattern) for i, (_, pattern) in enumerate(GENERATORS)]), featured)
+    proposed = F.concat(*[one(i, pattern) for i, (_, pattern) in enumerate(GENERATORS)])
+    # bound once a text: the optimizer may move the base spans' expression to where it is used
+    return let(base, lambda b: F.transform(proposed, lambda p: featured(p, b)))
 
 
 class BoostedTrees:

@@ -135,7 +135,7 @@ def test_trees_learn_and_calibrate():
         for plus in (0, 1):
             x = [0] * width
             x[4], x[2] = luhn_ok, plus
-            cells.append((tuple(x), 100.0 if luhn_ok != plus else 1.0, 1.0 if luhn_ok != plus else 100.0))
+            cells.append((tuple(x), 1.0 if luhn_ok > plus else 100.0, 100.0 if luhn_ok > plus else 1.0))
     model = pii.BoostedTrees().fit(cells)
     for x, n, p in cells:
         assert (model.score(x) > 0.5) == (p > n)
