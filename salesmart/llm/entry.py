@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, line_rules, minhash, mixing, ngram_join, pii, secrets, token_files
+from salesmart.llm import bpe, line_rules, minhash, mixing, ngram_join, pii, quality, secrets, token_files, urls
 from salesmart.session import scratch_path
 
 
@@ -25,6 +25,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return urls.filter_captures(urls.page_captures(pages), urls.page_list(pages)).select(
+        F.col("capture_id").alias("page_id"), "fetched", "blocked", "n_entries", "categories", "first_entry"
+    )
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")), secrets.KINDS[:3])
 
@@ -41,6 +48,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_with_next(_table(spark, sf_dir, "documents"))
 
@@ -71,8 +85,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filters": op1_url_filters,
         "op2_secrets": op2_secrets,
         "op3_bpe": op3_bpe,
+        "op4_quality": op4_quality,
         "op5_minhash": op5_minhash,
         "op6_ngram_join": op6_ngram_join,
         "op7_mixing": op7_mixing,
@@ -82,6 +98,42 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP1_SQL = r"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path,
+         DATE '2024-01-01' + CAST(coalesce(page_id, 0) * 37 % 366 AS INTEGER) AS fetched
+  FROM pages
+),
+numbered AS (SELECT *, row_number() OVER () AS r, regexp_extract(path, '^/([^/]+)', 1) AS s1 FROM p),
+parts AS (SELECT *, string_split(host, '.') AS labels FROM numbered),
+keys AS (
+  SELECT DISTINCT r, page_id, fetched, key FROM (
+    SELECT r, page_id, fetched, 'domain:' || array_to_string(labels[i:], '.') AS key FROM parts, (SELECT unnest(range(1, 64)) AS i) WHERE i < len(labels) AND host <> ''
+    UNION ALL SELECT r, page_id, fetched, 'prefix:' || host || '/' || s1 FROM parts WHERE host <> '' AND s1 <> ''
+    UNION ALL SELECT r, page_id, fetched, 'page:' || host || path FROM parts WHERE host <> '' AND path <> ''
+  )
+),
+listable AS (
+  SELECT DISTINCT key, md5(key) AS m FROM (
+    SELECT 'domain:' || host AS key FROM p WHERE host <> '' AND starts_with(host, 'www.') = FALSE
+    UNION ALL SELECT 'prefix:' || host || '/' || s1 FROM parts WHERE host <> '' AND s1 <> ''
+    UNION ALL SELECT 'page:' || host || path FROM p WHERE host <> '' AND path <> ''
+  )
+),
+events AS (
+  SELECT key, ['adult', 'malware', 'spam', 'piracy'][instr('0123456789abcdef', m[2]) % 4 + 1] AS category, change,
+         DATE '2024-01-01' + CAST(CASE change WHEN 0 THEN a WHEN 1 THEN a + 40 + b ELSE a + 90 + 2 * b END AS INTEGER) AS day, (change <> 1)::INTEGER AS listed
+  FROM (SELECT key, m, (instr('0123456789abcdef', m[3]) - 1) * 16 + instr('0123456789abcdef', m[4]) - 1 AS a, instr('0123456789abcdef', m[5]) - 1 AS b FROM listable
+        WHERE m[1] IN ('0', '1', '2', '3')), (SELECT unnest([0, 1, 2]) AS change)
+),
+spans AS (SELECT key, category, day AS valid_from, lead(day) OVER (PARTITION BY key, category ORDER BY day, listed) AS valid_to, listed FROM events),
+hits AS (SELECT r, keys.key, category FROM keys JOIN spans ON keys.key = spans.key AND listed = 1 AND fetched >= valid_from AND (valid_to IS NULL OR fetched < valid_to)),
+found AS (SELECT r, count(*) AS n, array_to_string(list_sort(list(DISTINCT category)), ',') AS categories, min(key) AS first_entry FROM hits GROUP BY r)
+SELECT page_id, fetched, found.r IS NOT NULL AS blocked, coalesce(n, 0)::BIGINT AS n_entries, coalesce(categories, '') AS categories, first_entry
+FROM numbered LEFT JOIN found USING (r)
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE units AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -116,4 +168,4 @@ FROM placed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": OP7_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL}
