@@ -12,12 +12,12 @@ Plan shape (per dataset):
   keys anti-joined with the parent's keys) and left joins that exception
   set back.
 
-Joins carry no hints: the duplicated-key and dangling-key sides are
-aggregates whose size is only known at runtime, so AQE decides — a
-broadcast hash join when the measured side is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``, a sort-merge join
-otherwise, with skewed partitions of the streamed side (a hot key, or the
-null keys, which all hash alike) split by the skew-join rule.
+Joins carry no hints: AQE broadcasts the duplicated-key or dangling-key
+side where it is measured small and runs a sort-merge join otherwise.  AQE
+does not split such a join's hot keys (its small side is an aggregate, already
+partitioned by the key), so the joins back are salted: the rows go by (key,
+salt) with a salt from their other values, and the exception set is repeated
+once a salt.  A hot key, or the null keys, then reach ``SALTS`` tasks.
 """
 
 from __future__ import annotations
@@ -27,9 +27,14 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.functions.rules import Rule, condition, duplicate_flag_column, failure_reasons, validate
 
+# Parts that the rows of one key are dealt to in the joins back.
+SALTS = 16
+_SALT = "_dq_salt"
+
 PASSED = "PASSED"
 REJECTED = "REJECTED"
 
@@ -68,13 +73,27 @@ def duplicate_keys(df: DataFrame, key: str, flag: str | None = None) -> DataFram
     )
 
 
-def add_duplicate_flags(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+def join_back(df: DataFrame, exceptions: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """``df`` left joined to ``exceptions`` (one row a key) by (key, salt).
+
+    The salt is a hash of the row's other columns, so a retried task deals its
+    rows alike.  Rows that agree in every column share a salt."""
+
+    others = [_quoted(f.name) for f in df.schema.fields if f.name != key and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    if salts <= 1 or not others:
+        return df.join(exceptions, on=key, how="left")
+    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
+    repeated = exceptions.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, on=[key, _SALT], how="left").drop(_SALT)
+
+
+def add_duplicate_flags(df: DataFrame, keys: Iterable[str], salts: int = SALTS) -> DataFrame:
     """Append ``_dq_dup__<key>`` (TRUE if the key is duplicated) per key."""
 
     out, columns = df, list(df.columns)
     for key in dict.fromkeys(keys):
         flag = duplicate_flag_column(key)
-        out = out.join(duplicate_keys(df, key, flag), on=key, how="left")
+        out = join_back(out, duplicate_keys(df, key, flag), key, salts)
         columns.append(flag)
     return out.select(*[_quoted(c) for c in columns])
 
@@ -99,15 +118,16 @@ def flag_references(
     df: DataFrame,
     references: Sequence[tuple[str, DataFrame, str]],
     strategy: str = "exceptions",
+    salts: int = SALTS,
 ) -> DataFrame:
     """For each ``(key, parent, flag)``: ``flag`` is TRUE where the key exists
     among the parent's keys and NULL otherwise (also for a NULL key).
 
     ``strategy="exceptions"`` (for table-backed inputs, the default): the
-    *dangling* keys (used but unknown — normally few) are found on key-only
-    data, then left joined back.  With few dangling keys AQE broadcasts
-    that side and the rows of ``df`` are never shuffled, however large the
-    parent key set is; with many it is a sort-merge join.  The key-only
+    *dangling* keys (used but unknown) are found on key-only data, then left
+    joined back.  A parent rejected for any reason makes all its rows dangle, so
+    the set is often large and the join a sort-merge join (see ``join_back``);
+    where it is measured small AQE broadcasts it.  The key-only
     branch re-reads ``df``: a columnar scan when ``df`` is a table.
 
     ``strategy="join"``: left join the parent's distinct keys directly (one
@@ -125,11 +145,11 @@ def flag_references(
     for key, parent, flag in references:
         if strategy == "join":
             keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
-            out = out.join(keys.withColumn(flag, F.lit(True)), on=key, how="left")
+            out = join_back(out, keys.withColumn(flag, F.lit(True)), key, salts)
             continue
         marker = f"_dq_dangling__{flag}"
         out = (
-            out.join(dangling_keys(df, key, parent, marker), on=key, how="left")
+            join_back(out, dangling_keys(df, key, parent, marker), key, salts)
             .withColumn(flag, F.when(_quoted(key).isNotNull() & _quoted(marker).isNull(), F.lit(True)))
             .drop(marker)
         )

@@ -21,7 +21,7 @@ from salesmart.functions.cleaning import CLEANERS
 from salesmart.functions.rules import Rule
 from salesmart.operators import marts, quality, star
 from salesmart.operators.quality import annotate, flag_references, load_rules, rule_failure_counts, split
-from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules
+from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules_df
 
 REFERENCE_FLAGS = (CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG)
 
@@ -82,13 +82,12 @@ class RetailViews:
         self._flagged: dict[str, DataFrame] = {}
 
     def rules(self, dataset: str) -> list[Rule]:
-        """Active rules: from the given rules table, else the shipped catalog."""
+        """Active rules: from the given rules table, else the shipped catalog's rows."""
 
         if dataset not in self._rules:
             if self.rules_df is None:
-                self._rules[dataset] = shipped_rules(dataset)
-            else:
-                self._rules[dataset] = load_rules(self.rules_df, dataset)
+                self.rules_df = shipped_rules_df(self.spark)
+            self._rules[dataset] = load_rules(self.rules_df, dataset)
         return self._rules[dataset]
 
     def source(self, dataset: str) -> DataFrame:

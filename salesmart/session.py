@@ -15,7 +15,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package: AQE re-plans joins at
 # runtime (broadcast only when the measured side is small, otherwise
@@ -139,12 +139,9 @@ def session_conf(spark: SparkSession, conf: dict):
                 spark.conf.set(key, value)
 
 
-def session_key(spark: SparkSession) -> str:
-    """A key that identifies this session and its application (used to
-    cache plan objects); works where ``sparkContext`` is unavailable."""
+def staged_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read again."""
 
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # e.g. a Spark Connect session
-        app = "connect"
-    return f"{app}:{id(spark)}"
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

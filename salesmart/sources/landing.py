@@ -3,15 +3,14 @@ customers as xlsx workbooks, products as CSV, orders as JSON arrays.
 
 Used to run the whole pipeline (readers included) on data derived from the
 benchmark tables.  Every file is written by the task that owns the rows
-(one file per partition), nothing passes through the driver.  CSV goes
-through Spark's writer; the workbook and JSON-array writers are Python
-per partition and need a path every executor can write (a shared
-filesystem, e.g. the session's checkpoint folder).
+(one file per partition), nothing passes through the driver.  CSV and JSON
+go through Spark's writers, to any Hadoop path; the workbook writer is Python
+per partition (Spark has no writer of binary files) and refuses to run on a
+cluster, where a local folder would be each machine's own.
 """
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +36,8 @@ def _per_partition_files(df: DataFrame, directory: str, suffix: str, write_rows)
     (batch by batch; a retried task rewrites the same file)."""
 
     target = local_dir(directory)
+    if target is not None and not df.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError(f"On a cluster a workbook fixture needs a mounted shared folder; {directory!r} is each machine's own")
     if target is None:
         raise ValueError(f"Per-partition writer needs a shared filesystem path, got {directory!r}")
     columns = df.columns
@@ -60,21 +61,27 @@ def _per_partition_files(df: DataFrame, directory: str, suffix: str, write_rows)
     return int(df.mapInPandas(write, "rows long").agg(F.sum("rows")).first()[0] or 0)
 
 
-def _json_array(fh, columns, row_batches) -> int:
-    """A JSON array of objects, one object per row, streamed."""
+def _json_arrays(df: DataFrame, directory: str) -> None:
+    """One JSON array per partition, written by Spark's text writer (any Hadoop
+    path, committed with the task).  Spark makes each object's text; the task
+    only adds the brackets and commas."""
 
-    def plain(v):
-        return v.item() if hasattr(v, "item") else v
+    objects = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
-    n = 0
-    fh.write(b"[")
-    for batch in row_batches:
-        for r in batch:
-            fh.write((",\n" if n else "\n").encode())
-            fh.write(json.dumps({c: plain(v) for c, v in zip(columns, r)}).encode("utf-8"))
-            n += 1
-    fh.write(b"\n]\n")
-    return n
+    def lines(batches):
+        import pandas as pd
+
+        last = None
+        for pdf in batches:
+            values = list(pdf["value"])
+            if not values:
+                continue
+            first = ["["] if last is None else [last + ","]
+            yield pd.DataFrame({"value": [*first, *(v + "," for v in values[:-1])]})
+            last = values[-1]
+        yield pd.DataFrame({"value": ["[", "]"] if last is None else [last, "]"]})
+
+    objects.mapInPandas(lines, "value string").write.mode("overwrite").text(directory)
 
 
 def _workbook(fh, columns, row_batches) -> int:
@@ -108,9 +115,7 @@ def land(spark: SparkSession, raw: dict[str, DataFrame], landing: str | None = N
             .csv(settings.source_path("products"))
         )
     if "orders" in datasets:
-        _per_partition_files(
-            _source_shaped(raw["orders"], "orders"), settings.source_path("orders"), ".json", _json_array
-        )
+        _json_arrays(_source_shaped(raw["orders"], "orders"), settings.source_path("orders"))
     return settings
 
 

@@ -92,18 +92,6 @@ RULE_FIELDS = (
 )
 
 
-def shipped_rules(dataset_name: str):
-    """Active shipped rules of one dataset in evaluation order, without a
-    Spark job (same filter and order as ``active_rules_df``)."""
-
-    from salesmart.functions.rules import Rule, validate
-
-    rows = [dict(zip(RULE_FIELDS, r)) for r in SHIPPED_RULES]
-    rows = [r for r in rows if r["dataset_name"] == dataset_name and r["is_active"]]
-    rows.sort(key=lambda r: (r["rule_order"], r["rule_id"]))
-    return [validate(Rule.of(r)) for r in rows]
-
-
 def rules_from_file(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """A rule catalog kept as a file (JSON lines, or CSV with a header),
     read with the fixed rules schema; seed it with ``tables.seed_rules``."""

@@ -2,12 +2,15 @@
 
 ``overwrite_table`` returns the number of rows it wrote, measured by an
 ``Observation`` on the write itself — no second evaluation of the plan
-just to count it.
+just to count it.  The rows go to a table beside the target, which takes the
+target's place only when the write, and the caller's check of its counts,
+have succeeded: a failed run leaves the previous table as it was.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,13 @@ def create_zones(spark: SparkSession, settings: Settings) -> list[str]:
     return names
 
 
+def drop_zones(spark: SparkSession, settings: Settings) -> None:
+    """Drop the zones and all their tables."""
+
+    for zone in ZONES:
+        spark.sql(f"DROP DATABASE IF EXISTS {settings.database(zone)} CASCADE")
+
+
 def drop_if(spark: SparkSession, name: str, kind: str) -> None:
     """Drop ``name`` if it exists as a ``"VIEW"`` or as a table (``"TABLE"``),
     so a run can switch an output between a table and a view."""
@@ -44,14 +54,20 @@ def overwrite_table(
     settings: Settings,
     partition_by: tuple[str, ...] = (),
     counts: dict | None = None,
+    check: Callable[[int], None] | None = None,
 ) -> int | dict:
     """Replace ``table`` (data and schema) with ``df``; return rows written.
 
     ``counts`` maps names to boolean columns: the write then returns
     ``{name: rows where the column is true}`` from the same Observation.
+    ``check`` gets the number of rows before the table is replaced and may raise.
     """
 
-    drop_if(df.sparkSession, table, "VIEW")
+    spark = df.sparkSession
+    # a transactional format replaces in place; others by a table beside it
+    beside = table if settings.table_format == "delta" and check is None else f"{table}__next_{uuid.uuid4().hex[:8]}"
+    if beside == table:
+        drop_if(spark, table, "VIEW")
     observation = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     metrics = [F.count(F.lit(1)).alias("rows")] + [
         F.count_if(cond).alias(name) for name, cond in (counts or {}).items()
@@ -68,8 +84,19 @@ def overwrite_table(
     if spec:
         num_buckets, *columns = spec
         writer = writer.bucketBy(num_buckets, *columns).sortBy(*columns)
-    writer.saveAsTable(table)
-    got = observation.get
+    try:
+        writer.saveAsTable(beside)
+        got = observation.get
+        if check is not None:
+            check(int(got.get("rows", 0)))
+    except BaseException:
+        if beside != table:
+            spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    if beside != table:
+        drop_if(spark, table, "VIEW")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
     if counts:
         return {name: int(got.get(name, 0)) for name in counts}
     return int(got.get("rows", 0))

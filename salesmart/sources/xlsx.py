@@ -16,7 +16,9 @@ Options follow the connector the original pipeline used:
                   fixed schema binds columns by position).
 ``empty_as_null`` empty cell text becomes NULL.
 Numbers are rendered in plain notation (``1234`` not ``1234.0`` or
-``1.234E3``) when read into string fields.
+``1.234E3``) when read into string fields: 15 significant digits, and leading
+zeros where the cell's format is all zeros (``00000``).  Every row that has
+cells is kept, also where they are blank; the rules decide about it.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import io
 import posixpath
 import re
 import zipfile
-from decimal import Decimal, InvalidOperation
+from decimal import Context, Decimal, InvalidOperation
 from xml.etree.ElementTree import iterparse
 from xml.parsers import expat
 
@@ -36,6 +38,7 @@ from pyspark.sql import types as T
 DEFAULT_ADDRESS = "'Worksheet'!A1"
 BATCH_ROWS = 8192
 _CELL_REF = re.compile(r"^([A-Z]+)([0-9]+)$")
+_FIFTEEN_DIGITS = Context(prec=15)
 _EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 
 
@@ -155,30 +158,55 @@ def _sheet_member(zf: zipfile.ZipFile, sheet: str | None) -> str:
     return target.lstrip("/") if target.startswith("/") else posixpath.normpath(posixpath.join("xl", target))
 
 
-def plain_number(text: str) -> str:
-    """Excel's stored number text in plain notation: 1234.0 -> 1234, 1E3 -> 1000."""
+def plain_number(text: str, zeros: int = 0) -> str:
+    """Displayed text of a stored number in plain notation: 15 significant
+    digits, as a sheet shows (17 are stored), no exponent, and at least
+    ``zeros`` digits for a whole number (a format such as ``00000``)."""
 
     try:
-        d = Decimal(text)
+        d = _FIFTEEN_DIGITS.create_decimal(text)
     except InvalidOperation:
         return text
+    if not d.is_finite():
+        return text
     if d == d.to_integral_value():
-        return str(int(d))
+        whole = int(d)
+        return ("-" if whole < 0 else "") + str(abs(whole)).zfill(zeros)
     return format(d.normalize(), "f")
 
 
+def _zero_padding(zf: zipfile.ZipFile) -> dict[int, int]:
+    """Cell style -> digits, for styles whose number format is all zeros."""
+
+    if "xl/styles.xml" not in zf.namelist():
+        return {}
+    formats, styles, inside = {1: "0"}, {}, False
+    with zf.open("xl/styles.xml") as fh:
+        for event, e in iterparse(fh, events=("start", "end")):
+            tag = _local(e.tag)
+            if tag == "cellXfs":
+                inside = event == "start"
+            elif event == "start" and tag == "numFmt":
+                formats[int(_attr(e, "numFmtId"))] = _attr(e, "formatCode")
+            elif event == "start" and tag == "xf" and inside:
+                styles[len(styles)] = int(_attr(e, "numFmtId") or 0)
+    return {k: len(formats[f]) for k, f in styles.items() if re.fullmatch("0{2,}", formats.get(f) or "")}
+
+
 def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
-    """Yield (row_number, {col_index: text}) for every row of a sheet.
+    """Yield (row_number, {col_index: cell}) for every row of a sheet that has
+    cells; a cell is its text, None, or (stored, displayed) for a number.
 
     A streaming expat scan: no element tree is built, memory holds the rows
     of one 64 KiB chunk at most.
     """
 
     strings = _shared_strings(zf)
+    padding = _zero_padding(zf)
     member = _sheet_member(zf, sheet)
     local = _local_names()
     done: list[tuple[int, dict]] = []
-    st = {"row": 0, "next": 1, "cells": {}, "col": 0, "type": None, "value": None, "capture": False}
+    st = {"row": 0, "next": 1, "cells": {}, "col": 0, "style": 0, "type": None, "value": None, "capture": False}
     buf: list[str] = []
     inline: list[str] = []
     parser = expat.ParserCreate()
@@ -190,7 +218,7 @@ def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
             ref = attrs.get("r")
             m = _CELL_REF.match(ref) if ref else None
             st["col"] = column_index(m.group(1)) if m else len(st["cells"])
-            st["type"], st["value"] = attrs.get("t"), None
+            st["type"], st["value"], st["style"] = attrs.get("t"), None, int(attrs.get("s") or 0)
             inline.clear()
         elif tag == "v" or (tag == "t" and st["type"] == "inlineStr"):
             st["capture"] = True
@@ -220,10 +248,11 @@ def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
             elif kind in ("str", "d"):
                 text = value
             else:
-                text = None if value is None else plain_number(value)
+                text = None if value is None else (value, plain_number(value, padding.get(st["style"], 0)))
             st["cells"][st["col"]] = text
         elif tag == "row":
-            done.append((st["row"], st["cells"]))
+            if st["cells"]:  # a row that has cells is a row of the table, blank or not
+                done.append((st["row"], st["cells"]))
             st["next"] = st["row"] + 1
 
     def chars(data):
@@ -289,6 +318,7 @@ def workbook_rows(content: bytes, schema: T.StructType, address: str = DEFAULT_A
 
     sheet, first_col, first_row = parse_address(address)
     converters = [_converter(f.dataType) for f in schema.fields]
+    as_text = [isinstance(f.dataType, T.StringType) for f in schema.fields]
     width = len(converters)
     header_pending = header
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
@@ -298,11 +328,11 @@ def workbook_rows(content: bytes, schema: T.StructType, address: str = DEFAULT_A
             if header_pending:
                 header_pending = False
                 continue
-            texts = [cells.get(first_col + i) for i in range(width)]
+            found = [cells.get(first_col + i) for i in range(width)]
+            # a number cell is (stored text, displayed text): string fields get what the sheet shows
+            texts = [(t[1] if shown else t[0]) if isinstance(t, tuple) else t for t, shown in zip(found, as_text)]
             if empty_as_null:
                 texts = [None if t == "" else t for t in texts]
-            if all(t is None for t in texts):
-                continue
             yield tuple(None if t is None else conv(t) for conv, t in zip(converters, texts))
 
 

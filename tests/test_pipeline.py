@@ -89,7 +89,7 @@ def test_cardinality_guard_stops_before_writing(spark, run):
         if ds == "customers":
             df = df.unionByName(df.limit(1))  # duplicate customer in the lookup
         overwrite_table(df, s3.valid_table(ds), s3)
-    with pytest.raises(ValueError, match="changed the number of valid Orders"):
+    with pytest.raises(ValueError, match="972 valid orders became 976"):
         pipeline.run_enrich(spark, s3)
     assert not spark.catalog.tableExists(s3.enriched_table("customers"))
 
@@ -224,3 +224,27 @@ def test_partitioned_write_restores_session_settings(spark, run):
     out = pipeline.run_quality(spark, s8)
     assert out["orders"]["valid"] + out["orders"]["rejected"] == spark.table(s.raw_table("orders")).count()
     assert spark.conf.get("spark.sql.optimizer.plannedWrite.enabled", None) == before
+
+
+def test_failed_runs_publish_nothing_and_keep_the_old_tables(spark, run, monkeypatch):
+    from salesmart.operators import star
+
+    s, _, details = run
+    before = {t: spark.table(s.enriched_table(t)).count() for t in ("customers", "products", "order_sales")}
+    raw = spark.table(s.raw_table("customers")).count()
+    original = star.order_sales
+    monkeypatch.setattr(star, "order_sales", lambda o, c, p: original(o, c.union(c), p))
+    with pytest.raises(star.CardinalityError):
+        pipeline.run_enrich(spark, s)
+    assert before == {t: spark.table(s.enriched_table(t)).count() for t in before}
+    monkeypatch.setattr(pipeline, "read_source", lambda sp, ds, st: sp.table(st.raw_table(ds)).limit(0))
+    with pytest.raises(RuntimeError, match="no rows"):
+        pipeline.ingest(spark, s)
+    assert spark.table(s.raw_table("customers")).count() == raw
+    assert not [t.name for db in ("raw", "enriched") for t in spark.catalog.listTables(s.database(db)) if "__next_" in t.name]
+
+
+@pytest.mark.parametrize("stage", [pipeline.setup, pipeline.ingest, pipeline.run_quality, pipeline.run_enrich, pipeline.run_mart, pipeline.run_pipeline])
+def test_every_stage_needs_a_session(run, stage):
+    with pytest.raises(ValueError, match="spark must be provided"):
+        stage(None, run[0])

@@ -120,6 +120,7 @@ def test_xlsx_address_and_numbers():
     assert parse_address("'Worksheet'!A1") == ("Worksheet", 0, 1)
     assert parse_address("'It''s'!$C$5") == ("It's", 2, 5)
     assert parse_address("B2") == (None, 1, 2)
+    assert plain_number("1.1000000000000001") == "1.1" and plain_number("1234", 5) == "01234" and plain_number("-7", 3) == "-007"
     assert plain_number("1234.0") == "1234" and plain_number("1.5E3") == "1500" and plain_number("0.25") == "0.25"
 
 
