@@ -17,7 +17,6 @@ Layout
                split, reference flags, duplicate-key flags, star join,
                profit mart and reports.
 ``plans``      the four pipeline stages and their orchestration.
-``streaming``  nothing: the sources are full snapshots (see its docstring).
 """
 
 from salesmart.settings import Settings

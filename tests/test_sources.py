@@ -124,6 +124,21 @@ def test_xlsx_address_and_numbers():
     assert plain_number("1234.0") == "1234" and plain_number("1.5E3") == "1500" and plain_number("0.25") == "0.25"
 
 
+def test_xlsx_keeps_every_row_that_has_cells(spark, tmp_dir):
+    """Blank in the schema's columns with a note beside, full, three empty cells:
+    as many rows as the same data gives as CSV."""
+
+    os.makedirs(f"{tmp_dir}/blank", exist_ok=True)
+    rows = [["", "", "note"], ["a", "b", ""], ["", "", ""]]
+    with open(f"{tmp_dir}/blank/a.xlsx", "wb") as fh:
+        fh.write(workbook_bytes(["x", "y", "z"], rows))
+    _write(f"{tmp_dir}/blank_csv/a.csv", "x,y,z\n" + "".join(",".join(f'"{v}"' for v in r) + "\n" for r in rows))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "xy"])
+    got = read_xlsx(spark, f"{tmp_dir}/blank", schema).collect()
+    assert len(got) == 3 == spark.read.option("header", True).csv(f"{tmp_dir}/blank_csv").count()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, [(None, None), ("a", "b"), (None, None)]))
+
+
 def test_xlsx_address_offset(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/off", exist_ok=True)
     with open(f"{tmp_dir}/off/a.xlsx", "wb") as fh:
