@@ -9,7 +9,8 @@ of equal positions, estimates the sets' Jaccard similarity.
 ``near_duplicates`` joins signatures by bands: texts that share a band form
 candidate groups (found by least labels over (band, text) rows, never as
 pairs), and inside blocks of a group the Jaccard similarity of the full sets
-is verified; one text stands for all its exact copies.
+is verified; one text stands for all its exact copies (a class whose doc_ids
+are all null takes no part).
 
 Defined cases: null texts are empty; texts without words have the signature of
 all ones (equal to each other, in no group); rows of the same doc_id are
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import id_bounds, partitions, range_of, shingles, text_buffer, words
+from salesmart.llm.common import components, id_bounds, mix, partitions, range_of, shingles, stage, text_batches, text_buffer, words
+from salesmart.llm.ngram_join import class_id, connecting_links, least_of_components, needed
 
 PERMUTATIONS, BANDS, SHINGLE = 128, 16, 5
 _RNG = np.random.default_rng(5)
@@ -76,6 +78,70 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x) / F.size(a)
 
 
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and near_id (the least doc_id of its group) of each
+    document: groups are the components of the links ``100 * |A & B| >= percent
+    * |A | B|`` among texts that share a band of their signatures.
+
+    Bands find a pair at the similarity s with probability
+    ``1 - (1 - s ** 8) ** 16`` (0.95 at 0.8, above 0.99 from 0.85 on)."""
+
+    spark = docs.sparkSession
+    n = partitions(spark)
+    docs = docs.select("doc_id", "text")
+    size = PERMUTATIONS // BANDS
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, buf, off in text_batches(batch, "text"):
+                sh, first = shingles(*words(buf, off, lower=False), SHINGLE)
+                sets = [np.unique(sh[first[r] : first[r + 1]]) for r in range(j - i)]
+                sig = _signatures(buf, off, full=True).astype(np.uint64).reshape(j - i, BANDS, size)
+                band = np.zeros((j - i, BANDS), np.uint64)
+                for k in range(size):
+                    band = mix(band * np.uint64(31) + sig[:, :, k])
+                band = mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": batch.column("doc_id").slice(i, j - i).cast(pa.int64()),
+                        "id": pa.array([class_id(s) for s in sets], pa.int64()),
+                        "n": pa.array([len(s) for s in sets], pa.int32()),
+                        "bands": pa.array(list(band) if len(band) else [], pa.list_(pa.int64())),
+                    }
+                )
+
+    def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, buf, off in text_batches(batch, "text"):
+                sh, first = shingles(*words(buf, off, lower=False), SHINGLE)
+                sets = [np.unique(sh[first[r] : first[r + 1]]) for r in range(j - i)]
+                sizes = np.array([len(s) for s in sets])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "id": pa.array([class_id(s) for s in sets], pa.int64()), "n": pa.array(sizes, pa.int32()),
+                        "tokens": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                        "l": pa.array(np.ones(len(sets), np.int32)), "most": pa.array((sizes - needed(sizes, percent) + 1).astype(np.int32)),
+                    }
+                )
+
+    signed = stage(docs.mapInArrow(sign, "doc_id long, id long, n int, bands array<long>"), "signatures")
+    classes = signed.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+    classes = stage(classes, "signature-classes")
+    posted = classes.select(F.col("id").alias("b"), F.explode("bands").alias("token"))
+    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("token")
+    near = posted.join(shared, "token", "left_semi").select(F.col("b").alias("id")).distinct()
+    # one text of each class that shares a band brings its full set
+    chosen = stage(classes.join(near, "id", "left_semi").filter("least is not null").select(F.col("least").alias("_id")), "candidates")
+    texts = docs.join(chosen, F.col("doc_id") == F.col("_id"), "left_semi").select("text")
+    held = texts.mapInArrow(payload, "id long, n int, tokens array<long>, l int, most int").dropDuplicates(["id"])
+    held = stage(held, "candidate-sets")
+    roots = components(connecting_links(held, posted, n, percent))
+    named = stage(least_of_components(classes.select("id", "least"), roots).withColumnRenamed("id", "_id"), "near-classes")
+    return signed.join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("near_id")
+    )
+
+
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 

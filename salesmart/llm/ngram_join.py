@@ -52,10 +52,10 @@ LONGEST, BLOCK = 8, 2048
 _FLUSH = 2_000_000
 
 
-def needed(n: np.ndarray | int) -> np.ndarray | int:
+def needed(n: np.ndarray | int, percent: int = PERCENT) -> np.ndarray | int:
     """Least overlap of a set of ``n`` with any set it links to."""
 
-    return (PERCENT * n + 99) // 100
+    return (percent * n + 99) // 100
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -66,7 +66,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
         yield i, [np.unique(sh[first[r] : first[r + 1]]) for r in range(j - i)]
 
 
-def _class_id(s: np.ndarray) -> int:
+def class_id(s: np.ndarray) -> int:
     """64-bit hash of a set."""
 
     with np.errstate(over="ignore"):
@@ -83,7 +83,7 @@ def _classes(docs: DataFrame) -> DataFrame:
             ids, sizes, own = [], [], {}
             for _, sets in _sets(batch):
                 for s in sets:
-                    ids.append(_class_id(s))
+                    ids.append(class_id(s))
                     sizes.append(len(s))
                     own[ids[-1]] = s
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())], schema=schema)
@@ -161,7 +161,7 @@ def _ordered(docs: DataFrame, common: dict[int, int], n: int) -> DataFrame:
         for batch in batches:
             for _, found in _sets(batch):
                 for s in found:
-                    if not len(s) or (c := _class_id(s)) in seen:
+                    if not len(s) or (c := class_id(s)) in seen:
                         continue
                     if len(seen) >= 1_000_000:
                         seen.clear()
@@ -296,10 +296,10 @@ def links_within(ids: list[int], sizes: list[int], tokens: list[np.ndarray], lev
     return out
 
 
-def _links(spark, held: DataFrame, n: int) -> DataFrame:
-    """(a, b): links that connect all linked classes of ``held``."""
+def connecting_links(held: DataFrame, posted: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b): links that connect all linked classes of ``held`` (id, n, tokens,
+    l, most) whose candidates share a ``token`` in ``posted`` (token, b)."""
 
-    posted = held.select(F.col("id").alias("b"), F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("token"))
     least = stage(posted.groupBy("token").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("token", "a"), "least-holder")
     groups = components(posted.join(least, "token").filter("a <> b").select("a", "b"))
     sizes = stage(groups.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "group-sizes")
@@ -314,7 +314,7 @@ def _links(spark, held: DataFrame, n: int) -> DataFrame:
 
         def verified(rows: list[tuple]) -> pa.RecordBatch:
             _, ids, sizes, tokens, levels, prefixes = zip(*rows, strict=True)
-            found = links_within(list(ids), list(sizes), list(tokens), list(levels), list(prefixes))
+            found = links_within(list(ids), list(sizes), list(tokens), list(levels), list(prefixes), percent)
             return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
         for batch in batches:
@@ -332,6 +332,18 @@ def _links(spark, held: DataFrame, n: int) -> DataFrame:
     return rows.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j", "n", "id").mapInArrow(run, "a long, b long")
 
 
+def least_of_components(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, component): the least doc_id of each class's component, from the
+    classes (id, least) and the roots of the linked ones (node, root)."""
+
+    linked = classes.join(roots, classes["id"] == roots["node"], "left").select("id", F.coalesce("root", "id").alias("root"), "least")
+    # only linked classes are regrouped; a class without links is its own component
+    least = linked.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least").alias("component"))
+    least = stage(least, "component-ids")
+    both = linked.join(least.withColumn("_linked", F.lit(True)), "root", "left")
+    return both.select("id", F.when(F.col("_linked"), F.col("component")).otherwise(F.col("least")).alias("component"))
+
+
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of each document."""
 
@@ -343,11 +355,9 @@ def join(docs: DataFrame) -> DataFrame:
     limit = max(AT_LEAST, COMMON * classes.count())
     common = {r.id: int(r.n) for r in found.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") > limit).collect()}
     held = stage(_ordered(docs, common, n), "prefixes")
-    roots = components(_links(spark, held, n))
-    linked = classes.join(roots, classes["id"] == roots["node"], "left").select("id", F.coalesce("root", "id").alias("root"), "least")
-    # only linked classes are regrouped; a class without links is its own component
-    least = stage(linked.join(roots.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("least").alias("component")), "component-ids")
-    named = stage(linked.join(least, "root", "left").select(F.col("id").alias("_id"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component")).alias("component")), "class-components")
+    posted = held.select(F.col("id").alias("b"), F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("token"))
+    roots = components(connecting_links(held, posted, n))
+    named = stage(least_of_components(classes, roots).withColumnRenamed("id", "_id"), "class-components")
     return each.join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
     )

@@ -85,3 +85,39 @@ def test_likeness_estimates_jaccard():
         a, b = " ".join(base), " ".join(other)
         s = minhash.signatures([a, b])
         assert (s[0] == s[1]).mean() == pytest.approx(jaccard(sets(a), sets(b)), abs=0.15)
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    """Groups equal those of all pairs at 0.8; pairs stand clear of the
+    threshold, where bands find them all but surely."""
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for f in range(12):
+        base = [f"f{f}w{i}" for i in range(150 + 20 * f)]
+        for c in range(8):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                w[int(rng.integers(0, len(w)))] = f"e{rng.integers(10**9)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(200, ""), (201, None), (202, ""), (203, "short one"), (204, "short one"), (None, rows[0][1]), (1, rows[1][1])]
+    got = minhash.near_duplicates(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n int")).collect()
+    assert len(got) == len(rows)
+    s, up = [sets(t or "") for _, t in rows], list(range(len(rows)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if s[i] and jaccard(s[i], s[j]) >= 0.8:
+                up[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    want = sorted((repr(d), len(s[i]), repr(least[root(i)] if s[i] else d)) for i, (d, _) in enumerate(rows))
+    assert sorted((repr(r.doc_id), r.n_shingles, repr(r.near_id)) for r in got) == want
+    assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
