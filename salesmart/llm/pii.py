@@ -258,7 +258,8 @@ def redact(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     The model is fitted to the counts of one pass; a second one finds and
     replaces the spans row by row, so no text is shuffled."""
 
-    fitted = fit(_found(docs.select(_text("text").alias("_text"))), precision)
+    # staged, so that the proposals are made once a text and not once a counted feature
+    fitted = fit(stage(_found(docs.select(_text("text").alias("_text"))).select("_proposed"), "pii-proposals"), precision)
     out = _found(docs.withColumn("_text", _text("text"))).withColumn("_spans", _spans(fitted))
     found = F.size("_spans") > 0
     out = out.withColumn("text", F.when(found, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
