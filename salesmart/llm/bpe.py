@@ -18,10 +18,13 @@ columns named like an output are replaced by it.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -75,14 +78,17 @@ class ForcedBoundaryBPE:
         self.inner = alone("") if self.suffix else self.final
         self.special = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.joined = {a + b for token in vocab for a, b in zip(token.removesuffix(self.suffix), token.removesuffix(self.suffix)[1:], strict=False)}
         self.letters = _byte_letters()
+        self.letter_of = dict(enumerate(self.letters))
+        # which byte letters (below U+0200) stand side by side in a token
+        self.pairs = np.zeros((512, 512), bool)
+        for token in vocab:
+            codes = [*map(ord, token.removesuffix(self.suffix) if self.suffix else token)]
+            self.pairs[codes[:-1], codes[1:]] = True
         self.drops_space = not self.pieces(" ") and not self.pieces("\n")
         split = next((p["pattern"]["Regex"] for p in (parsed.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split" and p.get("invert")), None)
         kinds = [n["type"] for n in (parsed.get("normalizer") or {}).get("normalizers", [])]
-        self.plain_pieces = regex.compile(split) if split and self.drops_space and kinds == ["NFC", "Replace", "Lowercase"] else None
-        self.names = dict.fromkeys(range(1 + max([*vocab.values(), *self.special.values()])))
-        self.names |= {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.plain_pieces = regex.compile(f"\n|{split}") if split and self.drops_space and kinds == ["NFC", "Replace", "Lowercase"] else None
         self.cache: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
@@ -92,69 +98,118 @@ class ForcedBoundaryBPE:
             text = self.normalizer.normalize_str(text)
         return [p for p, _ in self.pre.pre_tokenize_str(text)] if self.pre is not None else [text] * bool(text)
 
-    def fragments(self, chunk: str) -> list[tuple[str, int] | int]:
-        """What to encode for one chunk: special ids, or byte-letter strings
-        with 1 where the string ends a word."""
-
-        out: list[tuple[str, int] | int] = []
-        for i, part in enumerate(self.special_cut.split(chunk) if self.special_cut else [chunk]):
-            if i % 2:
-                out.append(self.special[part])
-                continue
-            if self.plain_pieces is not None and _PLAIN.fullmatch(part):
-                found = self.plain_pieces.findall(part.lower())
-                found = [p if p.isascii() else "".join([self.letters[b] for b in p.encode()]) for p in found]
-            else:
-                found = self.pieces(part) if part else []
-            for p in found:
-                at = 0
-                for j in range(1, len(p)):
-                    if p[j - 1 : j + 1] not in self.joined:
-                        out.append((p[at:j], 0))
-                        at = j
-                out.append((p[at:], 1))
-        return out
+    def _pieces_of(self, chunks: list[str]) -> list[list[str | int]]:
+        """Pre-tokens, in byte letters, and special ids of each chunk."""
 
-    def _learn(self, chunks: Iterable[str]) -> None:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        plans = {c: self.fragments(c) for c in chunks}
-        ids: dict[tuple[str, int], bytes] = {}
-        for last, model in ((0, self.inner), (1, self.final)):
-            new = list({f for plan in plans.values() for f in plan if not isinstance(f, int) and f[1] == last})
-            for a in range(0, len(new), 20_000):
-                some = new[a : a + 20_000]
-                for f, e in zip(some, model.encode_batch_fast([f[0] for f in some], add_special_tokens=False), strict=True):
-                    ids[f] = np.array(e.ids, "<i4").tobytes()
-        for c, plan in plans.items():
-            self.cache[c] = b"".join([np.int32(f).tobytes() if isinstance(f, int) else ids[f] for f in plan])
+        out = []
+        for chunk in chunks:
+            found: list[str | int] = []
+            for i, part in enumerate(self.special_cut.split(chunk) if self.special_cut else [chunk]):
+                found += [self.special[part]] if i % 2 else self.pieces(part) if part else []
+            out.append(found)
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def _plain_pieces_of(self, chunks: list[str]) -> list[list[str]]:
+        """The same for plain chunks, all in one search; a piece that isn't
+        ASCII is still to be put in byte letters."""
 
-        out = []
-        for t in texts:
-            if self.drops_space:
-                chunks = t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
+        out: list[list[str]] = []
+        now: list[str] = []
+        for piece in self.plain_pieces.findall("\n".join(chunks).lower() + "\n"):
+            if piece == "\n":
+                out.append(now)
+                now = []
             else:
-                chunks = [t] if t else []
-            if missing := [c for c in set(chunks) if c not in self.cache]:
-                if len(self.cache) + len(missing) > CACHE:
-                    self.cache.clear()
-                    missing = list(set(chunks))
-                self._learn(missing)
-            out.append(b"".join(map(self.cache.__getitem__, chunks)))
+                now.append(piece)
+        return out
+
+    def fragments(self, pieces: list[str]) -> dict[str, list[str]]:
+        """Pieces that hold a byte pair no token holds, cut there.  The pairs of
+        all pieces are looked up at once; most pieces have no cut."""
+
+        codes = np.frombuffer("".join(pieces).encode("utf-16-le"), np.uint16)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        cut = ~self.pairs[codes[:-1], codes[1:]]
+        cut[ends[:-1] - 1] = False
+        cuts = np.flatnonzero(cut) + 1
+        owner = np.searchsorted(ends, cuts, "right")
+        out: dict[str, list[str]] = {}
+        at = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)]), len(owner))
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            k = int(owner[a])
+            p, start = pieces[k], int(ends[k]) - len(pieces[k])
+            places = [0, *(cuts[a:b] - start).tolist(), len(p)]
+            out[p] = [p[x:y] for x, y in zip(places, places[1:], strict=False)]
+        return out
+
+    @staticmethod
+    def _ids(model, strings: list[str]) -> dict[str, bytes]:
+        """Ids of each distinct string, from one library call a few thousand."""
+
+        out: dict[str, bytes] = {}
+        for a in range(0, len(strings), 20_000):
+            some = strings[a : a + 20_000]
+            found = model.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))).tolist()
+            raw = array("i", found.ids).tobytes()
+            out.update(zip(some, [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)], strict=True))
         return out
 
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """As ``encode``, with one library call for all new words."""
+    def learn(self, chunks: list[str]) -> None:
+        """Put the ids of new chunks into the cache."""
+
+        plain: list[str] = []
+        if self.plain_pieces is not None:
+            plain = [c for c in chunks if _PLAIN.fullmatch(c)]
+            if self.special_cut and self.special_cut.search("\n".join(plain)):
+                plain = [c for c in plain if not self.special_cut.search(c)]
+        ready = self._plain_pieces_of(plain) if plain else []
+        known = set(plain)
+        rest = [c for c in chunks if c not in known] if len(plain) < len(chunks) else []
+        plans: list[list[str | int]] = [*ready, *self._pieces_of(rest)]
+        # plain pieces are text, the others byte letters already
+        text = {p for plan in ready for p in plan}
+        letters = {p: p if p.isascii() else p.encode().decode("latin-1").translate(self.letter_of) for p in text}
+        given = {p for plan in plans[len(plain) :] for p in plan if type(p) is str}
+        pieces = list({*letters.values(), *given})
+        cuts = self.fragments(pieces) if pieces else {}
+        inner = self._ids(self.inner, list({f for parts in cuts.values() for f in parts[:-1]}))
+        final = self._ids(self.final, list({cuts[p][-1] if p in cuts else p for p in pieces}))
+        whole = {p: b"".join([*(inner[f] for f in parts[:-1]), final[parts[-1]]]) for p, parts in cuts.items()}
+        coded = {p: whole[x] if x in whole else final[x] for p, x in letters.items()}
+        cache = self.cache
+        for c, plan in zip(plain, ready, strict=True):
+            cache[c] = coded[plan[0]] if len(plan) == 1 else b"".join([coded[p] for p in plan])
+        for c, plan in zip(rest, plans[len(plain) :], strict=True):
+            cache[c] = b"".join([array("i", [p]).tobytes() if type(p) is int else whole[p] if p in whole else final[p] for p in plan])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text.  Beyond ``CACHE`` words only
+        those of the texts at hand are kept."""
 
         if self.drops_space:
-            new = {c for t in texts for c in t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")}
-            new = [c for c in new if c not in self.cache]
-            if len(new) < CACHE // 2:
-                self._learn(new)
-        return self.encode(texts)
+            split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
+        else:
+            split = [[t] if t else [] for t in texts]
+        here = set(chain.from_iterable(split))
+        if len(self.cache) + len(here) > CACHE:
+            self.cache = {c: self.cache[c] for c in here if c in self.cache}
+        if new := [c for c in here if c not in self.cache]:
+            self.learn(new)
+        return [b"".join(map(self.cache.__getitem__, chunks)) for chunks in split]
+
+
+_MADE: dict[str, ForcedBoundaryBPE] = {}
+
+
+def encoder(spec: str) -> ForcedBoundaryBPE:
+    """The worker's encoder: made once and kept, with its words, for the next task."""
+
+    if spec not in _MADE:
+        _MADE.clear()
+        _MADE[spec] = ForcedBoundaryBPE(spec)
+        gc.freeze()  # the vocabulary stays: the collector need not walk it again
+    return _MADE[spec]
 
 
 def read_spec(path: str) -> str:
@@ -178,11 +233,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep:
     kept, schema = _appended(docs, [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)], keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBPE(spec)
+        bpe = encoder(spec)
         for batch in batches:
             for i, j, _, _ in text_batches(batch, text):
                 rows = batch.slice(i, j - i)
-                coded = bpe.encode_many([t or "" for t in rows.column(text).to_pylist()])
+                coded = bpe.encode([t or "" for t in rows.column(text).to_pylist()])
                 at = np.zeros(len(coded) + 1, np.int32)
                 np.cumsum([len(c) // 4 for c in coded], out=at[1:])
                 ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(coded), "<i4")))
@@ -203,9 +258,12 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
     kept, schema = _appended(df, [T.StructField(out, T.StringType(), False)], keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBPE(spec)
-        names = pa.array([bpe.names[i] for i in range(len(bpe.names))], pa.large_string())
-        byte_of = {c: b for b, c in enumerate(bpe.letters)}
+        parsed = json.loads(spec)
+        special_ids = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
+        special = re.compile("(" + "|".join(map(re.escape, sorted(special_ids, key=len, reverse=True))) + ")") if special_ids else None
+        by_id = {i: t for t, i in [*parsed["model"]["vocab"].items(), *special_ids.items()]}
+        names = pa.array([by_id.get(i) for i in range(1 + max(by_id))], pa.large_string())
+        byte_of = {c: b for b, c in enumerate(_byte_letters())}
         for batch in batches:
             lists = batch.column(ids)
             sizes = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
@@ -226,7 +284,6 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
                     texts = pc.binary_join(lined, pa.scalar(" ", pa.large_string())).cast(pa.string())
                 else:
                     whole = pc.binary_join(lined, pa.scalar("", pa.large_string())).to_pylist()
-                    special = bpe.special_cut
                     texts = pa.array(
                         [
                             "".join(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.bpe import ForcedBoundaryBPE, read_spec
+from salesmart.llm.bpe import encoder, read_spec
 from salesmart.llm.common import id_bounds, partitions, range_of, text_batches
 
 BLOCK = 1024
@@ -52,15 +52,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     blocks = np.arange(0, n, BLOCK)
-    left = np.minimum(n, np.repeat(blocks + BLOCK, BLOCK)[:n]) - np.arange(n)
+    left = (BLOCK - np.arange(n) % BLOCK).astype(np.int16)
     choice = np.full(n, ESCAPE, np.int8)
     for s in range(len(COUNTS) - 1, -1, -1):
-        c, wide = int(COUNTS[s]), np.zeros(n + 1, np.int64)
-        np.cumsum(ids >> np.uint64(WIDTHS[s]) != 0, out=wide[1:])
-        if wide[-1] == n:
-            break
-        end = np.minimum(np.arange(n) + c, n)
-        choice[(wide[end] == wide[:-1]) & (left >= c)] = s
+        c, wide = int(COUNTS[s]), np.zeros(n + 1, np.int32)
+        np.cumsum(ids >= np.uint64(1 << int(WIDTHS[s])), out=wide[1:])
+        if n < c or n - wide[-1] < c:
+            if wide[-1] == n:
+                break
+            continue
+        choice[: n - c + 1][(wide[c:] == wide[: n - c + 1]) & (left[: n - c + 1] >= c)] = s
     step = np.append(COUNTS, 1)[choice]
     at, ends, taken = blocks.copy(), np.minimum(blocks + BLOCK, n), []
     alive = np.arange(len(blocks))
@@ -131,11 +132,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     end = np.array([end_id], "<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, first = ForcedBoundaryBPE(spec), 0
+        bpe, first = encoder(spec), 0
         for batch in batches:
             for i, j, _, _ in text_batches(batch, "text"):
                 rows = batch.slice(i, j - i)
-                coded = [c + end for c in bpe.encode_many([t or "" for t in rows.column("text").to_pylist()])]
+                coded = [c + end for c in bpe.encode([t or "" for t in rows.column("text").to_pylist()])]
                 ids = np.frombuffer(b"".join(coded), "<i4")
                 words, offsets = pack(ids)
                 row = {
