@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from salesmart.llm.common import text_batches
 
-CACHE = 400_000
+CACHE = 150_000
+RUN = 1 << 20  # bytes of text, or four times as many ids, that a task handles at once
 
 # Letters of the Latin blocks below U+0250 are their own NFC form and have one
 # meaning in every Unicode version: for them ``str.lower`` and ``regex`` agree
@@ -235,7 +236,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec)
         for batch in batches:
-            for i, j, _, _ in text_batches(batch, text):
+            for i, j, _, _ in text_batches(batch, text, RUN):
                 rows = batch.slice(i, j - i)
                 coded = bpe.encode([t or "" for t in rows.column(text).to_pylist()])
                 at = np.zeros(len(coded) + 1, np.int32)
@@ -269,7 +270,7 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
             sizes = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
             i = 0
             while i < batch.num_rows:
-                j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + 1_000_000, "right")))
+                j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + RUN // 4, "right")))
                 rows = batch.slice(i, j - i)
                 part = rows.column(ids)
                 flat = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

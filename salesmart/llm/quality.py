@@ -36,7 +36,7 @@ from salesmart.llm.common import mix
 
 DIMENSIONS = 1 << 18
 MAX_ROWS = 6_000
-CACHE = 200_000
+CACHE = 100_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SHAPE = str.maketrans({**{chr(c): "A" for c in range(65, 91)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "0" for c in range(48, 58)}})
 
@@ -82,7 +82,7 @@ class Featurizer:
 
         found = _WORD.findall(text)
         if not found:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int32)
         if len(self.words) > CACHE:
             self.__init__()
         get, learn = self.words.get, self._learn
@@ -104,7 +104,7 @@ class Featurizer:
         parts.append(mix(np.array([(1 << 32) + size * 64 + int(distinct * 20), (2 << 32) + int(fresh * 20), (3 << 32) + same], np.uint64)))
         all_parts = (np.concatenate(parts) & np.uint64(DIMENSIONS - 1)).astype(np.int32)
         all_parts.sort()
-        return all_parts[np.append(True, all_parts[1:] != all_parts[:-1])].astype(np.int64)
+        return all_parts[np.append(True, all_parts[1:] != all_parts[:-1])]
 
 
 def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0) -> np.ndarray:
@@ -121,7 +121,7 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
 def _unit(r: np.ndarray, x: np.ndarray) -> np.ndarray:
     v = r[x]
     n = np.sqrt((v * v).sum())
-    return v / n if n > 0 else v
+    return (v / n if n > 0 else v).astype(np.float32)
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, epochs: int = 12, seed: int = 0) -> np.ndarray:
@@ -244,7 +244,7 @@ def score(docs: DataFrame, model: np.ndarray | None, keep: list[str] | None = No
             n = np.sqrt(model[DIMENSIONS + x].sum())
             return (model[x].sum() / n if n > 0 else 0.0) + model[-1]
 
-        for batch in batches:
+        for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
             if model is None:
                 scores = np.full(batch.num_rows, 0.5)
             else:

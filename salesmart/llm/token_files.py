@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.bpe import encoder, read_spec
+from salesmart.llm.bpe import RUN, encoder, read_spec
 from salesmart.llm.common import id_bounds, partitions, range_of, text_batches
 
 BLOCK = 1024
@@ -134,7 +134,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, first = encoder(spec), 0
         for batch in batches:
-            for i, j, _, _ in text_batches(batch, "text"):
+            for i, j, _, _ in text_batches(batch, "text", 2 * RUN):
                 rows = batch.slice(i, j - i)
                 coded = [c + end for c in bpe.encode([t or "" for t in rows.column("text").to_pylist()])]
                 ids = np.frombuffer(b"".join(coded), "<i4")
