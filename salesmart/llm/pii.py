@@ -2,18 +2,23 @@
 
 Generators with high recall propose spans (anything with an @, four dotted
 numbers, runs of digits with separators); base spans of the fixed kinds are
-found besides and always reported.  A proposal's format and context become a
-few small integers.  Proposals are counted over the whole corpus by these
-integers and by whether they are a base span: at most the product of the
+found besides and always reported.  A proposal's context and loosened format
+(not the base patterns' plus sign and separators) become a few small integers.
+A proposal that is a base span of its kind is a positive; one that overlaps no
+base span is unlabelled: it may be personal data that the base patterns miss.
+Others, such as longer versions of base spans, are not learnt from.  Both are
+counted over the whole corpus by the integers: at most the product of the
 features' ranges (``CELLS``) rows, whatever the corpus, are all that the
-fitting sees and all that reaches the driver.  Boosted depth-two trees with
-logistic loss are fitted to these counts; for each generator the least score
-from which on proposals are base spans at the wanted precision is its
-threshold.  Proposals at or above it that overlap no base span are added.
+fitting sees and all that reaches the driver.  For each generator boosted
+depth-two trees with logistic loss are fitted to these counts, positives
+against unlabelled ones at equal total weight; its threshold is the greatest
+score that the wanted share of its positives reaches, however many unlabelled
+ones do.  Proposals at or above it that overlap no base span are added.  A few
+fixed examples (``SEEDS``) are positives too, so that a generator without any
+base span in the corpus still has a model.
 
 Defined cases: a null text is empty; equal rows give equal rows; other columns
-are kept by ``redact`` and ignored by ``scan``; a corpus without proposals has
-no model and adds nothing; an empty table gives no rows.
+are kept by ``redact`` and ignored by ``scan``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -84,30 +89,51 @@ def _bucket(n: Column, *limits: int) -> Column:
 
 
 def _edge(c: Column) -> Column:
-    """0: nothing or white space, 1: letter or digit, 2: other."""
+    """0: nothing, white space or what stands beside a word, 1: letter or digit, 2: other."""
 
-    return F.when(F.regexp_like(c, F.lit(r"^[\x20\x09-\x0D]?$")), 0).when(F.regexp_like(c, F.lit("[A-Za-z0-9]")), 1).otherwise(2)
+    return F.when(F.regexp_like(c, F.lit(r"^[\x20\x09-\x0D.,;:!?()\[\]<>{}|\"']?$")), 0).when(F.regexp_like(c, F.lit(r"[\p{L}\p{N}]")), 1).otherwise(2)
 
 
+def _of(kind: str, p: Column, test: Column) -> Column:
+    """The test's result, 0 for proposals of other kinds."""
+
+    return F.when(p["generator"] == KINDS.index(kind), test.cast("int")).otherwise(0)
+
+
+def _national(found: Column) -> Column:
+    """Without a country code that stands apart."""
+
+    return F.regexp_replace(found, r"^\+[0-9]{1,3}[\x20().-]+", "")
+
+
+_DATE = r"^(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.]|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2})"
+_DOMAIN = r"@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}[^\p{L}\p{N}]*$"
 _HINT = "(?i)mail|phone|tel|call|mobile|fax|card|visa|iban|addr|contact|host|login"
 FEATURES = (
     ("generator", 4, lambda p: p["generator"]),
-    ("digits", 6, lambda p: _bucket(F.length(digits(p["found"])), 4, 10, 14, 16, 20)),
-    ("plus", 2, lambda p: p["found"].startswith("+").cast("int")),
-    ("breaks", 4, lambda p: _bucket(F.regexp_count(p["found"], F.lit(r"[\x20()./-]")), 1, 3, 5)),
-    ("luhn", 2, lambda p: F.when(F.length(p["found"]) < 60, passes_luhn(digits(p["found"])).cast("int")).otherwise(0)),
-    ("octets", 2, lambda p: F.regexp_like(p["found"], F.lit(OCTETS)).cast("int")),
-    ("domain", 3, lambda p: _bucket(F.length(F.regexp_extract(p["found"], r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.([A-Za-z]+)$", 1)), 2, 8)),
-    ("odd", 2, lambda p: F.regexp_like(p["found"], F.lit("[^A-Za-z0-9._%+@() -]")).cast("int")),
+    ("digits", 5, lambda p: _bucket(F.length(digits(_national(p["found"]))), 7, 10, 14, 20)),
+    ("grouped", 2, lambda p: _of("phone", p, F.regexp_like(_national(p["found"]), F.lit("[0-9][^0-9]+[0-9]")))),
+    ("dated", 2, lambda p: _of("phone", p, F.regexp_like(p["found"], F.lit(_DATE)))),
+    ("luhn", 2, lambda p: _of("card", p, F.when(F.length(p["found"]) < 60, passes_luhn(digits(p["found"]))).otherwise(False))),
+    ("octets", 2, lambda p: _of("ip", p, F.regexp_like(p["found"], F.lit(OCTETS)))),
+    ("domain", 2, lambda p: _of("email", p, F.regexp_like(p["found"], F.lit(_DOMAIN)))),
     ("left", 3, lambda p: _edge(F.right(p["before"], F.lit(1)))),
     ("right", 3, lambda p: _edge(F.left(p["after"], F.lit(1)))),
     ("hint", 2, lambda p: F.regexp_like(p["before"], F.lit(_HINT)).cast("int")),
 )
+#: A greater value never speaks against a proposal: base spans may all stand without a hint.
+RISING = {"hint"}
+# Positives beside the corpus's own.
+SEEDS = (
+    "write to jane.doe@example.com today", "from 192.0.2.17 on", "paid with 4111 1111 1111 1111 there", "number 5500000000000004 again",
+    "call +1 (212) 555-0147 now", "or +1 646-555-0199 then",
+)
 CELLS = 2 * math.prod(n for _, n, _ in FEATURES)
 
 
 def proposals(text: Column, base: Column) -> Column:
-    """Proposed spans with their features and whether each is a base span."""
+    """Proposed spans with their features, whether each is a base span of its
+    kind, and whether it is clear of all base spans."""
 
     def one(rank: int, pattern: str) -> Column:
         return F.transform(
@@ -120,7 +146,7 @@ def proposals(text: Column, base: Column) -> Column:
 
     def featured(p: Column, base: Column) -> Column:
         values = [f(p).cast("int").alias(name) for name, _, f in FEATURES]
-        is_base = F.exists(base, lambda b: (b["start"] == p["start"]) & (b["end"] == p["end"]))
+        is_base = F.exists(base, lambda b: (b["start"] == p["start"]) & (b["end"] == p["end"]) & (b["rank"] == p["generator"]))
         clear = ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
         return F.struct(p["start"].alias("start"), p["end"].alias("end"), F.struct(*values).alias("x"), is_base.alias("is_base"), clear.alias("clear"))
 
@@ -163,8 +189,9 @@ class BoostedTrees:
             left = [0.0, 0.0]
             for cut in range(1, n):
                 left = [left[0] + by[cut - 1][0], left[1] + by[cut - 1][1]]
-                new = score(*left) + score(whole[0] - left[0], whole[1] - left[1]) - score(*whole)
-                if new > gain:
+                right = [whole[0] - left[0], whole[1] - left[1]]
+                new = score(*left) + score(*right) - score(*whole)
+                if new > gain and not (FEATURES[f][0] in RISING and right[0] / (right[1] + 1) < left[0] / (left[1] + 1)):
                     gain, best = new, (f, cut)
         if best is None:
             return max(-8.0, min(8.0, self.rate * whole[0] / (whole[1] + 1)))
@@ -190,27 +217,35 @@ class BoostedTrees:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-reduce(lambda a, b: a + b, [F.lit(self.bias), *map(expr, self.trees)])))
 
 
-def fit(found: DataFrame, precision: float = 0.98) -> tuple[BoostedTrees, list[float]] | None:
-    """Model and threshold of each generator (above 1: none reaches the precision)."""
+Fitted = list[tuple[BoostedTrees, float]]
+
+
+def calibrate(cells: list[tuple[tuple[int, ...], float, float]], recall: float) -> tuple[BoostedTrees, float]:
+    """Model and threshold of a generator's cells: a feature vector with its
+    numbers of unlabelled proposals and positives."""
+
+    unlabelled, positive = sum(c[1] for c in cells), sum(c[2] for c in cells)
+    model = BoostedTrees().fit([(x, n * positive / unlabelled if n else 0.0, p) for x, n, p in cells])
+    scored = sorted(((model.score(x), p) for x, _, p in cells if p), reverse=True)
+    limit, reached = 2.0, 0.0
+    for score, p in scored:
+        if reached >= recall * positive:
+            break
+        limit, reached = score, reached + p
+    return model, limit
+
+
+def fit(found: DataFrame, recall: float = 0.95) -> Fitted:
+    """Model and threshold of each generator."""
 
     names = [f"p.x.{name}" for name, _, _ in FEATURES]
-    counted = found.select(F.explode("_proposed").alias("p")).groupBy(*[F.col(n).alias(n.rsplit(".", 1)[1]) for n in names]).agg(
-        F.count_if(~F.col("p.is_base")).alias("neg"), F.count_if(F.col("p.is_base")).alias("pos")
+    seeds = _found(found.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, SEEDS))).alias("_text")))
+    each = found.select("_proposed").unionByName(seeds.select("_proposed")).select(F.explode("_proposed").alias("p"))
+    counted = each.filter("p.is_base or p.clear").groupBy(*[F.col(n).alias(n.rsplit(".", 1)[1]) for n in names]).agg(
+        F.count_if(~F.col("p.is_base")).alias("unlabelled"), F.count_if(F.col("p.is_base")).alias("positive")
     )
-    cells = sorted((tuple(r[: len(names)]), float(r["neg"]), float(r["pos"])) for r in counted.collect())
-    if not cells:
-        return None
-    model = BoostedTrees().fit(cells)
-    thresholds = []
-    for k in range(len(GENERATORS)):
-        scored = sorted(((model.score(x), n, p) for x, n, p in cells if x[0] == k), reverse=True)
-        best, neg, pos = 2.0, 0.0, 0.0
-        for i, (s, n, p) in enumerate(scored):
-            neg, pos = neg + n, pos + p
-            if (i + 1 == len(scored) or scored[i + 1][0] < s) and pos >= precision * (neg + pos):
-                best = s
-        thresholds.append(best)
-    return model, thresholds
+    cells = sorted((tuple(r[: len(names)]), float(r["unlabelled"]), float(r["positive"])) for r in counted.collect())
+    return [calibrate([c for c in cells if c[0][0] == k], recall) for k in range(len(GENERATORS))]
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -222,14 +257,15 @@ def _found(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_proposed", F.when(some, proposals(F.col("_text"), F.col("_base"))).otherwise(nothing))
 
 
-def _spans(fitted: tuple[BoostedTrees, list[float]] | None) -> Column:
-    """Base spans and the proposals that the model selects."""
+def _spans(fitted: Fitted) -> Column:
+    """Base spans and the proposals that the models select."""
+
+    def selected(p: Column) -> Column:
+        # the sums of the same leaves may differ in their last digits from the driver's
+        each = [(p["x"]["generator"] == k) & (model.column(p["x"]) >= limit - 1e-9) for k, (model, limit) in enumerate(fitted)]
+        return p["clear"] & reduce(lambda a, b: a | b, each)
 
-    if fitted is None:
-        return F.col("_base")
-    model, thresholds = fitted
-    limit = lambda g: F.element_at(F.array(*map(F.lit, thresholds)), g + 1)
-    chosen = F.filter("_proposed", lambda p: p["clear"] & (model.column(p["x"]) >= limit(p["x"]["generator"])))
+    chosen = F.filter("_proposed", selected)
     added = F.transform(
         chosen,
         lambda p: F.struct(
@@ -244,14 +280,14 @@ def _text(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
 
-def scan(docs: DataFrame, text: str = "text", precision: float = 0.98) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", recall: float = 0.95) -> DataFrame:
     """doc_id, base and spans (arrays of start, rank, end, kind), one row per document."""
 
     found = stage(_found(docs.select("doc_id", _text(text).alias("_text"))).drop("_text"), "pii-candidates")
-    return found.select("doc_id", F.col("_base").alias("base"), _spans(fit(found, precision)).alias("spans"))
+    return found.select("doc_id", F.col("_base").alias("base"), _spans(fit(found, recall)).alias("spans"))
 
 
-def redact(docs: DataFrame, precision: float = 0.98) -> DataFrame:
+def redact(docs: DataFrame, recall: float = 0.95) -> DataFrame:
     """``docs`` with all spans of ``text`` replaced by their kind, and
     ``n_chars``, where there is such a column, by the new length.
 
@@ -259,7 +295,7 @@ def redact(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     replaces the spans row by row, so no text is shuffled."""
 
     # staged, so that the proposals are made once a text and not once a counted feature
-    fitted = fit(stage(_found(docs.select(_text("text").alias("_text"))).select("_proposed"), "pii-proposals"), precision)
+    fitted = fit(stage(_found(docs.select(_text("text").alias("_text"))).select("_proposed"), "pii-proposals"), recall)
     out = _found(docs.withColumn("_text", _text("text"))).withColumn("_spans", _spans(fitted))
     found = F.size("_spans") > 0
     out = out.withColumn("text", F.when(found, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))

@@ -128,6 +128,27 @@ def test_redaction_equals_plain_python(spark, odd):
         assert (r.text or "") == want and (r.n_chars or 0) == len(want)
 
 
+def test_personal_data_that_the_base_patterns_miss(spark):
+    """Phones without plus sign, cards with dots or slashes and an email with
+    a letter outside ASCII are added, with base spans in the corpus or without; other numbers are not."""
+
+    missed = [
+        "ring (212) 555-0147 soon", "ring 646-555-0199, or not", "the desk: (503) 555-0112.", "pay 4111.1111.1111.1111 now",
+        "pay 5500/0000/0000/0004 now", "pay 4242.4242.4242.4242, then", "to anna@müller.de today",
+    ]
+    at = [("phone", 5, 19), ("phone", 5, 17), ("phone", 10, 24), ("card", 4, 23), ("card", 4, 23), ("card", 4, 23), ("email", 3, 17)]
+    other = ["id 4111111111111112 x", "on 2024-01-15 at", "sum 1234567 y", 'h "ab0641917ea4e9" z', "see a@b there", "v 300.2.1.1 w"]
+    known = [f"lorem +1 (9{i % 90 + 10}) 555-{2000 + i} ipsum" for i in range(60)] + [f"dolor 4111111111111111 no {i}x" for i in range(60)]
+    known += [f"amet user{i}@mail.example.com sit" for i in range(60)]
+    for rest in (known, []):
+        texts = [*missed, *[t for t in other for _ in range(20)], *rest]
+        got = {r.doc_id: r.spans for r in secrets.digest(pii.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), pii.KINDS).collect()}
+        for i, (kind, a, b) in enumerate(at):
+            assert f"{kind}:{a}:{b}" in got[i].split(","), texts[i]
+        for i in range(len(missed), len(missed) + 20 * len(other)):
+            assert got[i] == "", texts[i]
+
+
 def test_trees_learn_and_calibrate():
     width = len(pii.FEATURES)
     cells = []
