@@ -121,3 +121,18 @@ def test_near_duplicates_against_all_pairs(spark):
     want = sorted((repr(d), len(s[i]), repr(least[root(i)] if s[i] else d)) for i, (d, _) in enumerate(rows))
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.near_id)) for r in got) == want
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_pairs_just_above_the_threshold_are_found(spark):
+    """Pairs at 0.80 to 0.85, each the only link of its two texts."""
+
+    rows = []
+    for f in range(120):
+        w = [f"f{f}w{i}" for i in range(204)]  # 200 shingles
+        k = 18 + f % 5  # so many leading words differ: the same number of shingles of either text is its own
+        a, b = " ".join(w), " ".join([f"e{f}x{i}" for i in range(k)] + w[k:])
+        if 0.80 <= jaccard(sets(a), sets(b)) <= 0.85:
+            rows += [(2 * f, a), (2 * f + 1, b)]
+    assert len(rows) >= 200
+    got = {r.doc_id: r.near_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows}
