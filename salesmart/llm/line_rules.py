@@ -3,9 +3,14 @@
 Rules on one text: words, symbols, repeated lines and words inside three-word
 windows that occur twice or more.  Over the corpus, lines are normalised
 (ASCII white space collapsed, lower case, digit runs as 0), hashed and counted
-by distinct documents within each host; a line that more than ``max_documents``
-documents of its host hold is removed, and a document that keeps less than
-``min_kept`` of its words is rejected.
+by distinct texts within each host, so copies of a document count once.  A line
+is removed when more texts of its host hold it than ``SHARE`` of the host's
+texts, ``FLOOR`` at least; a line of ``LONG`` words or more, which is not
+repeated by chance in hosts of any size, when more than ``LONG_FLOOR`` do.  The
+text of least hash among a line's holders keeps it, so one of a group of near
+copies stays whole, and so do the copies of it.  A document that keeps less
+than ``min_kept`` of its words is rejected.  With ``max_documents`` a line goes
+from all its holders when more documents than this hold it.
 
 Windows of a text are compared as 64-bit hashes, sorted once per text that has
 equal ones: the work is n log n in the text's words.  Only (host, line,
@@ -15,8 +20,8 @@ where one line is very common.
 
 Defined cases: a null text has no words (and fails the base rules); null hosts
 are one host, null doc_ids one document; rows equal in doc_id, host and text
-are one document and give equal rows; an empty table gives no rows; other
-columns are ignored.
+are one document and give equal rows; a host's texts are those with words; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +34,8 @@ from salesmart.llm.spans import let
 
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
+SHARE, FLOOR = 0.002, 5
+LONG, LONG_FLOOR = 20, 3
 
 
 def words_of(text: Column) -> Column:
@@ -86,27 +93,34 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(one)
 
 
-def clean(docs: DataFrame, host: str = "source", max_documents: int = 100, min_kept: float = 0.2, text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, host: str = "source", max_documents: int | None = None, min_kept: float = 0.2, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words, and
     ``cleaned``, the text without the lines above the limit."""
 
+    one = F.lit(1).alias("one")
+
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = docs.select("doc_id", F.col(f"`{host}`").cast("string").alias("host"), t.alias("_text")).withColumn("_key", F.xxhash64("_text"))
     found = F.transform(lines_of(F.col("_text")), lambda x: F.struct(line_hash(x).alias("line"), F.size(words_of(x)).alias("n")))
     each = rows.select("doc_id", "host", "_key", F.posexplode(found).alias("at", "x"))
     # distinct by place: equal rows are one document
     lines = stage(each.select("doc_id", "host", "_key", "at", "x.line", "x.n").distinct(), "lines")
-    over = (
-        lines.groupBy("host", "line", "doc_id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("host", "line")
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .filter(F.col("documents") > max_documents)
-    )
-    over = stage(over.select(F.col("host").alias("_h"), F.col("line").alias("_l")), "lines-over")
+    same_line = ["host", "line"]
+    if max_documents is None:
+        counted = lines.groupBy(*same_line, "_key").agg(F.max("n").alias("n")).groupBy(*same_line).agg(
+            F.count(F.lit(1)).alias("texts"), F.max("n").alias("n"), F.min("_key").alias("_first")
+        )
+        counted = counted.filter(F.col("texts") > min(FLOOR, LONG_FLOOR))
+        hosts = lines.groupBy("host", "_key").agg(one).groupBy(F.col("host").alias("_host")).agg((SHARE * F.count(F.lit(1))).alias("_share"))
+        limit = F.when(F.col("n") >= LONG, F.lit(LONG_FLOOR)).otherwise(F.greatest(F.lit(FLOOR), "_share"))
+        over = counted.join(stage(hosts, "line-hosts"), F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("texts") > limit)
+    else:
+        counted = lines.groupBy(*same_line, "doc_id").agg(one).groupBy(*same_line).agg(F.count(F.lit(1)).alias("documents"))
+        over = counted.filter(F.col("documents") > max_documents).withColumn("_first", F.lit(None).cast("long"))
+    over = stage(over.select(F.col("host").alias("_h"), F.col("line").alias("_l"), "_first"), "lines-over")
     removed = (
-        lines.join(over, F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l")))
+        lines.join(over, F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l")) & ~F.col("_key").eqNullSafe(F.col("_first")))
         .groupBy("doc_id", "host", "_key")
         .agg(F.sum("n").alias("_n"), F.collect_set("line").alias("_lines"))
     )

@@ -214,6 +214,28 @@ def test_op9_against_brute_force(spark, odd, limit):
         assert got == brute_clean([(r.doc_id, r.text, r.source) for r in df.collect()], limit, 0.2)
 
 
+def test_lines_repeated_in_a_handful_of_texts(spark):
+    """A planted passage goes from all but one of its six texts, a short line
+    by its share of the host; copies count once and one of a family of near copies stays whole."""
+
+    own = lambda i, n: " ".join(f"own{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(n))
+    passage = " ".join(f"passage{chr(97 + j)}" for j in range(25))
+    rows = [(i, own(i, 60) + "\n" + passage, "a") for i in range(6)]
+    rows += [(100 + i, own(100 + i, 60) + "\nshare this page", "a") for i in range(12)]
+    rows += [(200 + i, own(200 + i, 60) + "\nread more", "a") for i in range(5)]
+    rows += [(300 + i, own(300, 60) + "\n" + own(301, 30), "a") for i in range(150)]  # exact copies
+    rows += [(500 + i, "\n".join(own(400 + k, 30) for k in range(4)) + f"\nedition {chr(97 + i)}", "a") for i in range(8)]  # near copies
+    rows += [(600 + i, own(500 + i, 60) + "\n" + passage, "b") for i in range(3)]
+    got = {r.doc_id: r for r in line_rules.clean(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    removed = lambda ids: sorted(got[i].n_removed_words for i in ids)
+    assert removed(range(6)) == [0] + [25] * 5
+    assert removed(range(100, 112)) == [0] + [3] * 11
+    assert removed([*range(200, 205), *range(600, 603)]) == [0] * 8
+    assert all(got[i].kept and got[i].n_removed_words == 0 for i in range(300, 450))
+    assert sorted(got[i].kept for i in range(500, 508)) == [False] * 7 + [True]
+    assert all(passage not in got[i].cleaned for i in range(6) if got[i].n_removed_words)
+
+
 def test_op9_registered_columns_and_empty_table(spark, odd):
     assert entry.op9_line_rules(spark, SF).columns == ["doc_id", *COLUMNS[:7]]
     assert line_rules.clean(odd.limit(0)).count() == 0
