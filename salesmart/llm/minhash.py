@@ -10,7 +10,7 @@ of equal positions, estimates the sets' Jaccard similarity.
 candidate groups (found by least labels over (band, text) rows, never as
 pairs), and inside blocks of a group the Jaccard similarity of the full sets
 is verified; one text stands for all its exact copies (a class whose doc_ids
-are all null takes no part).
+are all null takes no part).  ``fingerprint_with_next`` gives both per document.
 
 Defined cases: null texts are empty; texts without words have the signature of
 all ones (equal to each other, in no group); rows of the same doc_id are
@@ -78,102 +78,146 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x) / F.size(a)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and near_id (the least doc_id of its group) of each
-    document: groups are the components of the links ``100 * |A & B| >= percent
-    * |A | B|`` among texts that share a band of their signatures.
+def _set_ids(buf: np.ndarray, off: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """Sorted distinct shingles of each text, and their hashes (the texts' classes)."""
 
-    Bands miss a pair at the similarity s with probability
-    ``(1 - s ** 4) ** 32`` (5e-8 at 0.8, less above)."""
+    sh, first = shingles(*words(buf, off, lower=False), SHINGLE)
+    sets = [np.unique(sh[first[r] : first[r + 1]]) for r in range(len(off) - 1)]
+    return sets, [class_id(s) for s in sets]
+
+
+def _near_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, id, n) of each document, its class and set size, and (id,
+    component) of each class with words: the least doc_id of its group."""
 
     spark = docs.sparkSession
     n = partitions(spark)
     docs = docs.select("doc_id", "text")
     size = PERMUTATIONS // BANDS
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, off in text_batches(batch, "text"):
-                sh, first = shingles(*words(buf, off, lower=False), SHINGLE)
-                sets = [np.unique(sh[first[r] : first[r + 1]]) for r in range(j - i)]
-                sig = _signatures(buf, off, full=True).astype(np.uint64).reshape(j - i, BANDS, size)
-                band = np.zeros((j - i, BANDS), np.uint64)
+                sets, ids = _set_ids(buf, off)
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": batch.column("doc_id").slice(i, j - i).cast(pa.int64()), "id": pa.array(ids, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int32())}
+                )
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, buf, off in text_batches(batch, "text"):
+                sets, ids = _set_ids(buf, off)
+                has = np.array([len(s) > 0 for s in sets], bool)
+                sig = _signatures(buf, off, full=True).astype(np.uint64).reshape(j - i, BANDS, size)[has]
+                band = np.zeros(sig.shape[:2], np.uint64)
                 for k in range(size):
                     band = mix(band * np.uint64(31) + sig[:, :, k])
                 band = mix(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": batch.column("doc_id").slice(i, j - i).cast(pa.int64()),
-                        "id": pa.array([class_id(s) for s in sets], pa.int64()),
-                        "n": pa.array([len(s) for s in sets], pa.int32()),
-                        "bands": pa.array(list(band) if len(band) else [], pa.list_(pa.int64())),
-                    }
-                )
+                yield pa.RecordBatch.from_pydict({"token": pa.array(band.ravel()), "b": pa.array(np.repeat(np.array(ids, np.int64)[has], BANDS))})
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows sorted by token and class, the distinct ones of tokens that
+        several classes hold."""
+
+        token = first = last = None  # the last row's token, its least class, and the last class
+        for batch in batches:
+            t, c = batch.column("token").to_numpy(), batch.column("b").to_numpy()
+            if not len(t):
+                continue
+            if token is not None:  # what is known of the last token stands before the batch
+                t, c = np.append(np.int64(token), t), np.append(np.int64(last), c)
+            heads = np.append(True, t[1:] != t[:-1])
+            new = np.append(False, c[1:] != c[:-1]) & ~heads
+            least = c[np.maximum.accumulate(np.where(heads, np.arange(len(t)), 0))]
+            if token is not None:
+                least[: int(np.append(np.flatnonzero(heads[1:]) + 1, len(t))[0])] = first
+            # each class after the least, and the least itself before the first of them
+            second = new & np.append(False, c[:-1] == least[:-1])
+            yield pa.RecordBatch.from_pydict({"token": np.append(t[second], t[new]), "b": np.append(least[second], c[new])})
+            token, first, last = t[-1], least[-1], c[-1]
+
+    named = stage(docs.mapInArrow(name, "doc_id long, id long, n int"), "shingle-classes")
+    classes = stage(named.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("least")), "signature-classes")
+    posted = docs.select("text").mapInArrow(post, "token long, b long").repartition(n, "token").sortWithinPartitions("token", "b")
+    posted = stage(posted.mapInArrow(shared, "token long, b long"), "shared-bands")
 
     def payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, off in text_batches(batch, "text"):
-                sh, first = shingles(*words(buf, off, lower=False), SHINGLE)
-                sets = [np.unique(sh[first[r] : first[r + 1]]) for r in range(j - i)]
+            for _, _, buf, off in text_batches(batch, "text"):
+                sets, ids = _set_ids(buf, off)
                 sizes = np.array([len(s) for s in sets])
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "id": pa.array([class_id(s) for s in sets], pa.int64()), "n": pa.array(sizes, pa.int32()),
+                        "id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int32()),
                         "tokens": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                         "l": pa.array(np.ones(len(sets), np.int32)), "most": pa.array((sizes - needed(sizes, percent) + 1).astype(np.int32)),
                     }
                 )
 
-    signed = stage(docs.mapInArrow(sign, "doc_id long, id long, n int, bands array<long>"), "signatures")
-    classes = signed.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
-    classes = stage(classes, "signature-classes")
-    posted = classes.select(F.col("id").alias("b"), F.explode("bands").alias("token"))
-    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("token")
-    near = posted.join(shared, "token", "left_semi").select(F.col("b").alias("id")).distinct()
+    near = posted.select(F.col("b").alias("id")).distinct()
     # one text of each class that shares a band brings its full set
     chosen = stage(classes.join(near, "id", "left_semi").filter("least is not null").select(F.col("least").alias("_id")), "candidates")
     texts = docs.join(chosen, F.col("doc_id") == F.col("_id"), "left_semi").select("text")
     held = texts.mapInArrow(payload, "id long, n int, tokens array<long>, l int, most int").dropDuplicates(["id"])
     held = stage(held, "candidate-sets")
     roots = components(connecting_links(held, posted, n, percent))
-    named = stage(least_of_components(classes.select("id", "least"), roots).withColumnRenamed("id", "_id"), "near-classes")
-    return signed.join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left").select(
+    return named, stage(least_of_components(classes, roots), "near-classes")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and near_id (the least doc_id of its group) of each
+    document: groups are the components of the links ``100 * |A & B| >= percent
+    * |A | B|`` among texts that share a band of their signatures.
+
+    Bands miss a pair at the similarity s with probability
+    ``(1 - s ** 4) ** 32`` (5e-8 at 0.8, less above)."""
+
+    named, near = _near_classes(docs, percent)
+    return named.join(near.withColumnRenamed("id", "_id"), (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("near_id")
     )
 
 
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_shingles long, near_id long"
 
 
-def fingerprint_with_next(docs: DataFrame) -> DataFrame:
+def fingerprint_with_next(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per document its fingerprint, that of its edited text (the last third
     replaced by the beginning of the next document in descending doc_id, the
-    first after the last) and the likeness to that and to the next document.
+    first after the last), the likeness to that and to the next document, and
+    n_shingles and near_id as of ``near_duplicates``.
 
     Documents are cut into ranges of doc_id.  The bounds are doc_ids, so the
     first document of each range is known beforehand; it is sent along to the
-    range before it as well, and each range is one sorted stream."""
+    range before it as well, and each range is one sorted stream.  Small
+    rows with the near_id of a document's class stand before its text in it."""
 
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
+    named, near = _near_classes(docs, percent)
+    named = stage(named.filter("n > 0").select("doc_id", "id").distinct().join(near, "id"), "near-ids")
     bounds = id_bounds(docs, "doc_id", partitions(spark))
     n = max(1, len(bounds))
     own = range_of(F.col("doc_id"), bounds)
     # the range above takes this range's greatest doc_id as its follower; the lowest range takes the greatest of all
     heads = docs.filter(F.col("doc_id").isin(bounds)) if bounds else docs.limit(0)
     follows = F.pmod(range_of(F.col("doc_id"), bounds) + 1, F.lit(n))
-    rows = docs.select(own.cast("int").alias("at"), F.lit(0).alias("extra"), "doc_id", "text").union(
-        heads.select(follows.cast("int").alias("at"), F.lit(1).alias("extra"), "doc_id", "text")
+    none = F.lit(None).cast("long")
+    rows = docs.select(own.cast("int").alias("at"), F.lit(0).alias("extra"), "doc_id", "text", none.alias("id"), none.alias("component")).union(
+        heads.select(follows.cast("int").alias("at"), F.lit(1).alias("extra"), "doc_id", "text", none, none)
     )
+    rows = rows.union(named.select(own.cast("int").alias("at"), F.lit(0).alias("extra"), "doc_id", F.lit(None).cast("string"), "id", "component"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the last own row, whose next document is still to come
         start: tuple | None = None
         done = False
+        near: dict[tuple, int | None] = {}  # near_id by doc_id and class
 
         def emit(ids: list, texts: list[str], sig: np.ndarray) -> pa.RecordBatch:
             """Rows for all but the last of ``texts``."""
 
+            sets, classes = _set_ids(*text_buffer(pa.array(texts[:-1], pa.large_string())))
             edited = []
             for t, nxt in zip(texts, texts[1:], strict=False):
                 k = len(t) // 3
@@ -189,6 +233,8 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
                     "edited_fingerprint": hexed(changed),
                     "near_edited": (mine == changed).mean(axis=1),
                     "near_next": (mine == after).mean(axis=1),
+                    "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                    "near_id": pa.array([near[d, c] if len(s) else d for d, c, s in zip(ids, classes, sets, strict=False)], pa.int64()),
                 }
             )
 
@@ -197,6 +243,12 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
                 if done:
                     break
                 rows = batch.slice(a, 500)
+                small = rows.filter(rows.column("id").is_valid())
+                for d, c, x in zip(*(small.column(k).to_pylist() for k in ("doc_id", "id", "component")), strict=True):
+                    near[d, c] = x
+                rows = rows.filter(rows.column("id").is_null())
+                if not rows.num_rows:
+                    continue
                 ids, texts = rows.column("doc_id").to_pylist(), [t or "" for t in rows.column("text").to_pylist()]
                 extra = rows.column("extra").to_pylist()
                 if 1 in extra:  # what follows the range; its copies are not needed
@@ -212,8 +264,10 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
                 if len(ids) > 1:
                     yield emit(ids, texts, sig)
                 held = (ids[-1], texts[-1], sig[-1])
+                if ids[0] != ids[-1] and len(near) > 1000:  # those of the doc_ids before are used up
+                    near = {k: x for k, x in near.items() if k[0] == ids[-1] or k[0] is None or (ids[-1] is not None and k[0] < ids[-1])}
         if held is not None and not done:  # no doc_id at all: the stream is the table, and its first row follows its last
             yield emit([held[0], start[0]], [held[1], start[1]], np.vstack([held[2], start[2]]))
 
-    order = [F.col("extra"), F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_first()]
+    order = [F.col("extra"), F.col("doc_id").desc_nulls_last(), F.col("id").asc_nulls_last(), F.col("text").asc_nulls_first()]
     return rows.repartitionById(n, F.col("at")).sortWithinPartitions(*order).mapInArrow(run, RESULT)

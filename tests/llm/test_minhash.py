@@ -136,3 +136,13 @@ def test_pairs_just_above_the_threshold_are_found(spark):
     assert len(rows) >= 200
     got = {r.doc_id: r.near_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: d - d % 2 for d, _ in rows}
+
+
+def test_the_query_gives_near_duplicates(spark, tmp_path):
+    rows = [(2 * i + k, " ".join(f"f{i}w{j}" for j in range(60 + k))) for i in range(900) for k in (0, 1)]
+    rows += [(5000, ""), (5001, None), (None, rows[0][1]), (None, "no other text is like this one"), (7, rows[40][1]), (7, rows[41][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = entry.op5_minhash(spark, str(tmp_path)).collect()
+    want = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(repr((r.doc_id, r.n_shingles, r.near_id)) for r in got) == sorted(repr((r.doc_id, r.n_shingles, r.near_id)) for r in want)
+    assert sum(r.near_id is not None and r.near_id != r.doc_id for r in got) >= 900
