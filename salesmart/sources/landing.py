@@ -3,21 +3,22 @@ customers as xlsx workbooks, products as CSV, orders as JSON arrays.
 
 Used to run the whole pipeline (readers included) on data derived from the
 benchmark tables.  Every file is written by the task that owns the rows
-(one file per partition), nothing passes through the driver.  CSV and JSON
-go through Spark's writers, to any Hadoop path; the workbook writer is Python
-per partition (Spark has no writer of binary files) and refuses to run on a
-cluster, where a local folder would be each machine's own.
+(one file per partition), nothing passes through the driver, and all go
+through Spark's writers, to any Hadoop path and committed with the task.  A
+workbook is made in its task's memory and written as one line of Spark's text
+writer: the line's end is the zip file's one-byte comment.
 """
 
 from __future__ import annotations
 
-import os
+import io
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.schemas import SOURCE_SCHEMAS
-from salesmart.session import local_dir, scratch_path
+from salesmart.session import scratch_path
 from salesmart.settings import Settings
 from salesmart.sources import bridge
 
@@ -31,34 +32,29 @@ def _source_shaped(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*[F.col(snake_case(n)).alias(n) for n in names])
 
 
-def _per_partition_files(df: DataFrame, directory: str, suffix: str, write_rows) -> int:
-    """Each task streams its partition to ``directory/part-NNNNN<suffix>``
-    (batch by batch; a retried task rewrites the same file)."""
+def _workbooks(df: DataFrame, directory: str) -> None:
+    """One workbook per partition."""
 
-    target = local_dir(directory)
-    if target is not None and not df.sparkSession.sparkContext.master.startswith("local"):
-        raise ValueError(f"On a cluster a workbook fixture needs a mounted shared folder; {directory!r} is each machine's own")
-    if target is None:
-        raise ValueError(f"Per-partition writer needs a shared filesystem path, got {directory!r}")
     columns = df.columns
 
     def write(batches):
         import pandas as pd
-        from pyspark import TaskContext
+
+        from salesmart.sources.xlsx import write_workbook
 
         def row_batches():
             for pdf in batches:
                 pdf = pdf.astype(object).where(pdf.notna(), None)
                 yield [list(r) for r in pdf.itertuples(index=False, name=None)]
 
-        os.makedirs(target, exist_ok=True)
-        path = os.path.join(target, f"part-{TaskContext.get().partitionId():05d}{suffix}")
-        with open(path + ".tmp", "wb") as fh:
-            n = write_rows(fh, columns, row_batches())
-        os.replace(path + ".tmp", path)
-        yield pd.DataFrame({"rows": [n]})
+        fh = io.BytesIO()
+        write_workbook(fh, columns, row_batches())
+        with zipfile.ZipFile(fh, "a") as zf:
+            zf.comment = b"\n"
+        yield pd.DataFrame({"value": [fh.getvalue()[:-1]]})
 
-    return int(df.mapInPandas(write, "rows long").agg(F.sum("rows")).first()[0] or 0)
+    # the cast keeps the bytes as they are, and so does the text writer
+    df.mapInPandas(write, "value binary").select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", "\n").text(directory)
 
 
 def _json_arrays(df: DataFrame, directory: str) -> None:
@@ -84,12 +80,6 @@ def _json_arrays(df: DataFrame, directory: str) -> None:
     objects.mapInPandas(lines, "value string").write.mode("overwrite").text(directory)
 
 
-def _workbook(fh, columns, row_batches) -> int:
-    from salesmart.sources.xlsx import write_workbook
-
-    return write_workbook(fh, columns, row_batches)
-
-
 def land(spark: SparkSession, raw: dict[str, DataFrame], landing: str | None = None,
          datasets=("customers", "products", "orders")) -> Settings:
     """Write the given raw-shaped datasets as source files; return Settings
@@ -103,9 +93,7 @@ def land(spark: SparkSession, raw: dict[str, DataFrame], landing: str | None = N
         orders_file="orders_volume_new/Orders.json",
     )
     if "customers" in datasets:
-        _per_partition_files(
-            _source_shaped(raw["customers"], "customers"), settings.source_path("customers"), ".xlsx", _workbook
-        )
+        _workbooks(_source_shaped(raw["customers"], "customers"), settings.source_path("customers"))
     if "products" in datasets:
         (
             _source_shaped(raw["products"], "products").write.mode("overwrite")

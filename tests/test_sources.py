@@ -205,3 +205,16 @@ def test_xlsx_real_world_cell_shapes(spark, tmp_dir):
                       sst.replace("<", f"<{prefix}:").replace(f"<{prefix}:/", f"</{prefix}:") if prefix else sst, prefix)
         rows = read_xlsx(spark, f"{tmp_dir}/rw/w{i}.xlsx", schema).collect()
         assert [tuple(r) for r in rows] == [("José ", "TRUE", None, "José !"), ("1234.5", None, None, None)], prefix
+
+
+def test_customers_land_at_a_path_only_hadoop_can_open(spark, tmp_dir):
+    from salesmart.sources import bridge
+    from salesmart.sources.files import read_source
+    from salesmart.sources.landing import land_benchmark
+
+    sf = "/root/testdata/sf0.001"
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.landing.link./in", f"file://{tmp_dir}")
+    settings = land_benchmark(spark, sf, "viewfs://landing/in/customers", datasets=("customers",))
+    got, want = read_source(spark, "customers", settings), bridge.SOURCES["customers"](spark, sf)
+    assert got.count() == want.count() > 0
+    assert sorted(r.customer_id for r in got.collect()) == sorted(r.customer_id for r in want.collect())
