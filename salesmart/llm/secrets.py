@@ -3,9 +3,10 @@
 Every text is searched for the base kinds (assign, access, hex: fixed
 patterns) and for ``opaque`` candidates, long runs that mix letters and
 digits.  The values' hashes are counted over the whole corpus by distinct
-repositories and owners.  A value that more owners or repositories hold than
-the limits is a widely copied example; the others are owner-specific and look
-live.  Base spans are always reported, opaque ones where their value looks
+repositories and owners; copies of one text count as one repository.  A value
+that more owners than the limit hold, or several owners in more repositories
+than the limit, is a widely copied example; the others are owner-specific and
+look live, a single owner's always.  Base spans are always reported, opaque ones where their value looks
 live and they overlap no base span.
 
 Only rows with candidates are grouped or joined; a value that very many
@@ -37,7 +38,7 @@ _FOUND = "array<struct<rank:int,start:int,end:int,found:string>>"
 
 
 def candidates(docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
-    """doc_id, repository, owner and ``found``: all base and opaque matches."""
+    """doc_id, repository, owner, ``page`` (the text's hash) and ``found``: all base and opaque matches."""
 
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     opaque = F.filter(
@@ -49,7 +50,7 @@ def candidates(docs: DataFrame, text: str = "text", repository: str = "doc_id",
         return F.transform(spans, lambda s: F.struct(F.lit(rank).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found")))
 
     found = F.concat(*[ranked(k, i) for i, k in enumerate(kinds)]).cast(_FOUND)
-    return docs.select("doc_id", F.col(f"`{repository}`").cast("string").alias("repository"), F.col(f"`{owner}`").cast("string").alias("owner"), found.alias("found"))
+    return docs.select("doc_id", F.col(f"`{repository}`").cast("string").alias("repository"), F.col(f"`{owner}`").cast("string").alias("owner"), F.xxhash64(t).alias("page"), found.alias("found"))
 
 
 def scan(docs: DataFrame, max_owners: int = 3, max_repositories: int = 50, **columns: str) -> DataFrame:
@@ -58,16 +59,18 @@ def scan(docs: DataFrame, max_owners: int = 3, max_repositories: int = 50, **col
 
     found = stage(candidates(docs, **columns), "secret-candidates")
     some = F.size("found") > 0
-    units = found.filter(some).groupBy("doc_id", "repository", "owner", "found").agg(F.count(F.lit(1)).alias("rows"))
-    units = stage(units.withColumn("unit", F.sha2(F.to_json(F.struct("doc_id", "repository", "owner", "found")), 256)), "secret-units")
-    each = units.select("unit", "repository", "owner", F.posexplode("found").alias("at", "span")).withColumn("value", F.sha2(F.col("span.found"), 256))
-    # distinct (value, owner) and (value, repository) first, so a value held everywhere is one row per holder and task
-    held = each.select("value", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("owner").alias("by")), F.struct(F.lit(1).alias("side"), F.col("repository").alias("by")))).alias("h"))
+    units = found.filter(some).groupBy("doc_id", "repository", "owner", "page", "found").agg(F.count(F.lit(1)).alias("rows"))
+    units = stage(units.withColumn("unit", F.sha2(F.to_json(F.struct("doc_id", "repository", "owner", "page", "found")), 256)), "secret-units")
+    each = units.select("unit", "repository", "owner", F.col("page").cast("string").alias("page"), F.posexplode("found").alias("at", "span")).withColumn("value", F.sha2(F.col("span.found"), 256))
+    # distinct (value, owner), (value, repository) and (value, page) first, so a value held everywhere is one row per holder and task
+    sides = [F.struct(F.lit(i).alias("side"), F.col(c).alias("by")) for i, c in enumerate(("owner", "repository", "page"))]
+    held = each.select("value", F.explode(F.array(*sides)).alias("h"))
     held = held.groupBy("value", "h.side", "h.by").agg(F.lit(1).alias("one")).groupBy("value").agg(
-        F.count_if(F.col("side") == 0).alias("owners"), F.count_if(F.col("side") == 1).alias("repositories")
+        F.count_if(F.col("side") == 0).alias("owners"),
+        F.least(F.count_if(F.col("side") == 1), F.count_if(F.col("side") == 2)).alias("repositories"),
     )
     held = stage(held, "secret-frequency")
-    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    live = (F.col("owners") <= max_owners) & ((F.col("owners") == 1) | (F.col("repositories") <= max_repositories))
     flags = (
         each.select("unit", "at", "value")
         .join(held, "value")

@@ -97,6 +97,15 @@ def test_ownership_frequency_separates_examples_from_live_values(spark):
     assert got[100].spans == "opaque:5:25" and got[101].n_live == 1
 
 
+def test_copied_pages_do_not_make_a_value_an_example(spark):
+    one, two, spread = "Zx81kQ0pLm37Vb92Tt64", "Yw72jP9oKl26Ua81Ss53", "Xv63iO8nJk15Tz70Rr42"
+    rows = [(i, f"mine {one} x", "owner1") for i in range(60)] + [(100 + i, f"ours {two} x", f"owner{i % 2}") for i in range(60)]
+    rows += [(200 + i, f"page {i}x has {spread} x", f"owner{i % 2}") for i in range(60)]
+    got = {r.doc_id: r for r in secrets.digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")), secrets.KINDS[:3]).collect()}
+    assert all(got[i].spans == "opaque:5:25" and got[i].n_live == 1 for i in [*range(60), *range(100, 160)])
+    assert all(got[i].spans == "" and got[i].n_shared == 1 for i in range(200, 260))
+
+
 def test_op10_base_spans_of_the_whole_table(spark):
     check_digest(entry.op10_pii(spark, SF).collect(), pairs(spark.read.parquet(f"{SF}/documents.parquet")), pii_base)
 
