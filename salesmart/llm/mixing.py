@@ -106,18 +106,31 @@ def first_words(text: Column, n: Column) -> Column:
     return F.substring(text, F.lit(1), end)
 
 
+def source_cuts(plan: DataFrame, seed: str = "mix") -> DataFrame:
+    """The plan as one row a source: ``_src``, ``_e`` (whole copies of each
+    row) and ``_cut``, the last place in key order that is taken once more, with
+    the words that each row there gives."""
+
+    place = F.struct(hash_key(seed).alias("key"), "doc_id", "size")
+    last = F.max(F.when(F.col("part") > 0, F.struct(place.alias("place"), "part")))
+    return plan.groupBy(F.col("source").alias("_src")).agg(F.max("epochs").alias("_e"), last.alias("_cut"))
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: each row of ``docs`` as often as it is taken, the
     copy at a source's cut shortened to its words (and ``n_chars``, where there
-    is such a column, to its length)."""
-
-    plan = stage(mix_plan(docs, **options), "mix-plan").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"), F.col("epochs").alias("_e"), F.col("part").alias("_p")
-    )
-    both = docs.withColumn("_own", n_words(F.col("text"))).join(
-        plan.filter((F.col("_e") > 0) | (F.col("_p") > 0)),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")) & (F.col("_own") == F.col("_size")),
-    )
+    is such a column, to its length).
+
+    Every row finds out by itself on which side of its source's cut it is, so
+    the texts meet one row a source and are not shuffled for it."""
+
+    seed = options.get("seed", "mix")
+    cuts = stage(source_cuts(mix_plan(docs, **options), seed), "mix-cuts")
+    both = docs.withColumn("_own", n_words(F.col("text"))).join(cuts, F.col("source").eqNullSafe(F.col("_src")))
+    place = F.struct(hash_key(seed).alias("key"), "doc_id", F.col("_own").alias("size"))
+    # in key order the rows up to the cut are taken whole once more, the row at the cut in part
+    part = F.when(place < F.col("_cut.place"), F.col("_own")).when(place == F.col("_cut.place"), F.col("_cut.part")).otherwise(0)
+    both = both.withColumn("_p", F.coalesce(part, F.lit(0)).cast("long"))
     whole = F.col("_e") + F.when((F.col("_own") > 0) & (F.col("_p") == F.col("_own")), 1).otherwise(0)
     cut = (F.col("_p") > 0) & (F.col("_p") < F.col("_own"))
     nothing = F.array().cast("array<long>")

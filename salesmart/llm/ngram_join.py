@@ -31,7 +31,8 @@ classes and yields the connected components of the links.
 Defined cases: null and empty texts have the empty set and link with nothing
 (component: their own doc_id); null doc_ids name no component (null if all
 are); rows of one doc_id with different texts belong to their texts' classes;
-other columns are ignored; an empty table gives no rows.
+other columns are ignored; an empty table gives no rows.  ``representatives``
+keeps one row of each component, whatever the doc_ids.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.llm.common import components, mix, partitions, shingles, stage, text_batches, words
 
@@ -74,11 +76,11 @@ def class_id(s: np.ndarray) -> int:
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """(kind 0, doc_id, class, set size) per document and (kind 1, null,
-    shingle, holders) for shingles common within a batch."""
+    """(kind 0, doc_id, row, class, set size) per document and (kind 1, null,
+    null, shingle, holders) for shingles common within a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int32())])
+        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("id", pa.int64()), ("n", pa.int32())])
         for batch in batches:
             ids, sizes, own = [], [], {}
             for _, sets in _sets(batch):
@@ -86,15 +88,24 @@ def _classes(docs: DataFrame) -> DataFrame:
                     ids.append(class_id(s))
                     sizes.append(len(s))
                     own[ids[-1]] = s
-            yield pa.RecordBatch.from_arrays([pa.array([0] * len(ids), pa.int32()), batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([0] * len(ids), pa.int32()), batch.column("doc_id").cast(pa.int64()), batch.column("row"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int32())], schema=schema
+            )
             found, count = np.unique(np.concatenate([*own.values(), np.zeros(0, np.uint64)]), return_counts=True)
             top = count >= max(16, COMMON * len(own))
             if top.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(top.sum(), np.int32)), pa.nulls(int(top.sum()), pa.int64()), pa.array(found[top].view(np.int64)), pa.array(count[top].astype(np.int32))], schema=schema
-                )
+                none = pa.nulls(int(top.sum()), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(top.sum(), np.int32)), none, none, pa.array(found[top].view(np.int64)), pa.array(count[top].astype(np.int32))], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, id long, n int")
+    return docs.select("doc_id", "text", row_hash(docs).alias("row")).mapInArrow(run, "kind int, doc_id long, row long, id long, n int")
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """64-bit hash of a row: rows agree in it that agree in every column
+    (maps, which have no hash, aside)."""
+
+    names = [f"`{f.name}`" for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*names, *[F.col(c).isNull() for c in names])  # a null alone would leave no trace in the hash
 
 
 def _at(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -344,20 +355,53 @@ def least_of_components(classes: DataFrame, roots: DataFrame) -> DataFrame:
     return both.select("id", F.when(F.col("_linked"), F.col("component")).otherwise(F.col("least")).alias("component"))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id of each document."""
+def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, row, id, n) of each document with its row's hash, its class and
+    set size; (id, least) of each class with words; (node, root) of the linked
+    classes."""
 
     spark = docs.sparkSession
     n = partitions(spark)
     found = stage(_classes(docs), "shingle-classes")
-    each = found.filter("kind = 0").select("doc_id", "id", "n")
+    each = found.filter("kind = 0").select("doc_id", "row", "id", "n")
     classes = stage(each.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("least")), "classes")
     limit = max(AT_LEAST, COMMON * classes.count())
     common = {r.id: int(r.n) for r in found.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") > limit).collect()}
     held = stage(_ordered(docs, common, n), "prefixes")
     posted = held.select(F.col("id").alias("b"), F.explode(F.slice("tokens", F.lit(1), F.col("first"))).alias("token"))
-    roots = components(connecting_links(held, posted, n))
+    return each, classes, components(connecting_links(held, posted, n))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of each document."""
+
+    each, classes, roots = linked_classes(docs)
     named = stage(least_of_components(classes, roots).withColumnRenamed("id", "_id"), "class-components")
     return each.join(named, (F.col("id") == F.col("_id")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component: of its rows the least by
+    (doc_id, nulls last; class; row hash), so the choice neither depends on
+    doc_ids being unique or present nor on the order of the rows.  A row
+    without words is in no component and stays.
+
+    Classes and hashes decide; whole rows move once, in the join that keeps the
+    chosen ones.  Of chosen rows that are equal in every column one stays:
+    only these few are grouped, after a partial aggregation."""
+
+    each, _, roots = linked_classes(docs)
+    rows = each.filter("n > 0").groupBy("id", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "id", "row", "copies")
+    best = stage(rows.groupBy("id").agg(F.min(order).alias("best")), "class-rows")
+    best = best.join(roots, best["id"] == roots["node"], "left").groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("best").alias("best"))
+    chosen = stage(best.select(F.col("best.row").alias("_chosen"), F.col("best.copies").alias("_copies")), "chosen-rows")
+    hashed = docs.withColumn("_row_hash", row_hash(docs))
+    wordless = F.coalesce(~F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(True))
+    on = F.col("_row_hash") == F.col("_chosen")
+    single = hashed.join(chosen.filter("_copies = 1"), on, "left").filter(F.col("_chosen").isNotNull() | wordless)
+    repeated = hashed.join(chosen.filter("_copies > 1"), on, "left_semi").dropDuplicates(["_row_hash"])
+    names = [f"`{c}`" for c in docs.columns]
+    return single.select(*names).unionByName(repeated.select(*names))

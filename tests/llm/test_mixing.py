@@ -84,3 +84,16 @@ def test_mixed_documents_hold_the_words_taken(spark):
 
 def test_registered():
     assert "op7_mixing" in entry.queries()
+
+
+def test_documents_hold_what_the_plan_takes(spark):
+    """Repeated rows, one doc_id in several texts and sources, null keys, sizes of zero."""
+
+    rows = [(i % 60, "w " * (i % 13), f"s{i % 4}" if i % 5 else None) for i in range(300)] + [(7, "x y z", "tiny")] * 3 + [(None, "a b", None)] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, got = {}, {}
+    for r in mixing.mix(df).collect():
+        want[r.doc_id, r.source] = want.get((r.doc_id, r.source), 0) + r.taken
+    for r in mixing.mixed_documents(df.repartition(3)).collect():
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if n}

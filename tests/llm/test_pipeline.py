@@ -99,3 +99,16 @@ def test_every_stage_takes_odd_rows(spark, rows):
         assert not (got and not rows)
     kept = cp.drop_near_copies(spark, docs, SF).collect()
     assert sorted(repr(r.doc_id) for r in kept) == (["1", "2", "4", "None", "None"] if rows else [])
+
+
+def test_dedup_loses_no_unique_text(spark):
+    """Shared and missing doc_ids: each component keeps one row, unique texts stay."""
+
+    c = "the river ran past the old mill and the miller counted his sacks of grain before the rain came down " * 3
+    near = c + "again"
+    unique, low, other = ("quite another story about ships and the sea and the men who sailed " * 3, "low lands by the sea " * 9, "over the hills and far away " * 9)
+    null = "nobody knows who wrote this line of words " * 5
+    rows = [(3, c), (5, near), (5, unique), (7, low), (7, other), (None, null), (None, null)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = cp.drop_near_copies(spark, docs, SF).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(3, c), (5, unique), (7, low), (7, other), (None, null)])
