@@ -1,13 +1,14 @@
 """Corpus pipeline: five stages over ``documents``, each written and read again.
 
 quality   documents that the classifier rejects (score below 0.3) go
-dedup     of each component of near copies the document of least id stays
+dedup     of each component of near copies one row stays, the one of least doc_id
 pii       personal data is replaced by its kind
 mix       sources are brought to their target weights (documents repeat or go)
 tokens    token ids, their number and the decoded text of every document left
 
-All but the last return the columns of their input.  Rows whose doc_id is null
-are kept by ``dedup`` (they cannot stand for a component).
+All but the last return the columns of their input.  ``dedup`` chooses by class
+and row, not by doc_id alone: rows that share a doc_id, or have none, are kept
+or dropped for their texts.
 """
 
 from __future__ import annotations
@@ -32,13 +33,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: a document stays if its id is its component's; of several
-    rows with that id (in any texts) one stays."""
+    """Operator 6: one row of each component stays, the one of least doc_id."""
 
-    joined = ngram_join.join(docs)
-    kept = stage(joined.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "kept-ids")
-    named = docs.filter("doc_id is not null").join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null")).select(*_columns(docs))
+    return ngram_join.representatives(docs)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,24 @@ def test_answers_follow_the_tables(spark, tmp_path):
     assert after["raw_customers"] == table.num_rows // 2 and all(after[k] < before[k] for k in keys)
 
 
+@pytest.mark.parametrize("with_pipeline_file", [True, False])
+def test_the_rest_stands_without_the_optional_parts(tmp_path, with_pipeline_file):
+    """Without salesmart/llm and tests/llm (and with or without
+    corpus_pipeline.py) the entry imports, answers and the other tests collect."""
+
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    root, copy = pathlib.Path(entry.__file__).parent, tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=lambda d, names: [n for n in names if n in ("llm", ".git", "__pycache__", ".pytest_cache") or (n == "corpus_pipeline.py" and not with_pipeline_file)])
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert q.keys() == s.keys() and 'pipeline' not in q, q.keys() ^ s.keys()"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True)
+    found = subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "-p", "no:cacheprovider", "tests"], cwd=copy, capture_output=True, text=True)
+    assert found.returncode == 0, found.stdout[-2000:]
+
+
 @pytest.mark.parametrize("key", sorted(k for k in entry.queries() if not _optional(k)))
 def test_query_matches_oracle(spark, duck, key):
     df = entry.queries()[key](spark, SF_SMALL)
