@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, line_rules, minhash, mixing, ngram_join, pii, quality, secrets, token_files, urls
+from salesmart.llm import bpe, fim, line_rules, minhash, mixing, ngram_join, pii, quality, secrets, token_files, urls, variants, warc
 from salesmart.session import scratch_path
 
 
@@ -83,6 +83,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(pii.scan(_table(spark, sf_dir, "documents")), pii.KINDS)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "text-frames")
+    fim.write_frames(_table(spark, sf_dir, "documents"), path)
+    return fim.transform(spark, path)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -95,6 +111,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_line_rules": op9_line_rules,
         "op10_pii": op10_pii,
+        "op11_fim": op11_fim,
+        "op12_warc": op12_warc,
+        "op13_variants": op13_variants,
     }
 
 
@@ -167,5 +186,45 @@ FROM placed
 """
 
 
+OP11_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+  FROM documents
+),
+hashed AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM units
+),
+formed AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                 WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi
+  FROM hashed
+),
+parts AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:n], '') AS suffix FROM formed
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+OP12_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+numbered AS (SELECT *, max(page_id) OVER same AS first_id, row_number() OVER (same ORDER BY page_id DESC NULLS LAST) AS place FROM p WINDOW same AS (PARTITION BY payload))
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+       -- five bits a letter, read from two hexadecimal digits
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+         ((instr('0123456789abcdef', substr(h, 1 + 5 * i // 4, 1)) - 1) * 16 + instr('0123456789abcdef', substr(h, 2 + 5 * i // 4, 1)) - 1) >> (3 - 5 * i % 4) & 31)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first_id END AS refers_to
+FROM numbered
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL, "op11_fim": OP11_SQL, "op12_warc": OP12_SQL}
