@@ -4,12 +4,17 @@ Two adjacent bytes that stand side by side inside no vocabulary token can
 never be joined by a merge, so every such byte pair is a certain cut.  A text
 is cut at the vocabulary's special tokens, at white space where the tokenizer
 drops it, at the pre-tokenizer's borders and at these byte pairs; fragments
-are encoded on their own (each distinct one once per batch) and their ids are
-concatenated.  The result equals the tokenizers library's on the whole text.
+are encoded on their own and their ids are concatenated.  The result equals the
+tokenizers library's on the whole text.
+
+Words between the white space that the tokenizer drops (whole texts, if it
+drops none) are looked up by 128-bit hashes, all of a run of texts at once, in
+``WordIds``: sorted arrays in two generations, some 30 bytes a word, so what is
+no longer met goes and what is in use stays.  Only new words are cut and encoded.
 
 The tokenizer's JSON (a vocabulary file, a few MB whatever the corpus) is read
 once on the driver and travels with the tasks; a task holds one batch of texts
-and a cache of at most ``CACHE`` words.
+and at most two generations of ``CACHE`` words, and ``PIECES`` pre-tokens.
 
 Defined cases: null and empty texts have no ids; null or empty id lists decode
 to an empty text; unknown ids are skipped; repeated rows give repeated rows;
@@ -24,7 +29,6 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +36,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from salesmart.llm.common import text_batches
+from salesmart.llm.common import _BYTE, _BYTE_OTHER, span_hashes, text_batches, text_buffer, word_spans
 
-CACHE = 150_000
+CACHE, CACHE_IDS, PIECES = 400_000, 4_000_000, 100_000
 RUN = 1 << 20  # bytes of text, or four times as many ids, that a task handles at once
 
 # Letters of the Latin blocks below U+0250 are their own NFC form and have one
@@ -43,6 +47,49 @@ RUN = 1 << 20  # bytes of text, or four times as many ids, that a task handles a
 _PLAIN = re.compile("[\x21-\x7e¡-¬®-ɏ]+")
 
 
+# Code points of simple words: printable ASCII without the apostrophe (contractions
+# look further than one code point) and the Latin letters up to U+00FF.
+_SIMPLE = [c for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)] if c not in (0x27, 0xD7, 0xF7)]
+_SIMPLE_BYTES = 64
+_NEVER = np.int64(1 << 40)
+
+_DROPPED = np.zeros(256, bool)
+_DROPPED[[0x20, 0x09, 0x0A, 0x0D]] = True
+
+
+def ragged(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``flat[start : start + count]`` of all pairs, end to end."""
+
+    before = np.cumsum(counts) - counts
+    return flat[np.repeat(starts - before, counts) + np.arange(int(counts.sum()))]
+
+
+class WordIds:
+    """Ids of words by their two hashes: arrays sorted by the first."""
+
+    def __init__(self, h: np.ndarray | None = None, check: np.ndarray | None = None, starts: np.ndarray | None = None, counts: np.ndarray | None = None, flat: np.ndarray | None = None):
+        empty = lambda t: np.zeros(0, t)
+        self.h, self.check = (empty(np.uint64), empty(np.uint64)) if h is None else (h, check)
+        self.starts, self.counts, self.flat = (empty(np.int64), empty(np.int32), empty(np.int32)) if h is None else (starts, counts, flat)
+
+    def find(self, h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which are known, and the places of those."""
+
+        if not len(self.h):
+            return np.zeros(len(h), bool), np.zeros(0, np.int64)
+        place = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        known = (self.h[place] == h) & (self.check[place] == check)
+        return known, place[known]
+
+    def with_words(self, h: np.ndarray, check: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> WordIds:
+        """These and other words, whose ids are ``flat`` in their order (of
+        words that agree in the first hash one is kept)."""
+
+        starts = np.append(self.starts, np.cumsum(counts, dtype=np.int64) - counts + len(self.flat))
+        every, at = np.unique(np.append(self.h, h), return_index=True)
+        return WordIds(every, np.append(self.check, check)[at], starts[at], np.append(self.counts, counts)[at].astype(np.int32), np.append(self.flat, flat))
+
+
 def _byte_letters() -> list[str]:
     """The byte-level alphabet: printable bytes stand for themselves, the
     others for the letters from U+0100 on, in byte order."""
@@ -90,7 +137,102 @@ class ForcedBoundaryBPE:
         split = next((p["pattern"]["Regex"] for p in (parsed.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split" and p.get("invert")), None)
         kinds = [n["type"] for n in (parsed.get("normalizer") or {}).get("normalizers", [])]
         self.plain_pieces = regex.compile(f"\n|{split}") if split and self.drops_space and kinds == ["NFC", "Replace", "Lowercase"] else None
-        self.cache: dict[str, bytes] = {}
+        self.young, self.old = WordIds(), WordIds()
+        self._prepare_merges(vocab, merges, bool(model.get("ignore_merges") or model.get("dropout")))
+        self.known_pieces: dict[str, bytes] = {}
+
+    def _prepare_merges(self, vocab: dict[str, int], merges: list[tuple[str, str]], other: bool) -> None:
+        """Tables of the vectorised path: for words of ``_SIMPLE`` code points,
+        what the splitting pattern does between two of them, ids of single
+        bytes, and the merges as sorted pairs of ids."""
+
+        ends = [c + self.suffix for c in self.letters]
+        self.simple = None
+        if other or self.plain_pieces is None or not all(c in vocab for c in [*self.letters, *ends]):
+            return
+        begins = {ord(t[0]) for t in self.special}
+        codes = [c for c in _SIMPLE if c not in begins and chr(c).lower() not in map(chr, begins)]
+        low = sorted({ord(chr(c).lower()) for c in codes})
+        found = self._plain_pieces_of([chr(a) + chr(b) for a in low for b in low])
+        self.splits = np.zeros((256, 256), bool)
+        self.splits[np.repeat(low, len(low)), np.tile(low, len(low))] = [len(f) == 2 for f in found]
+        self.simple = np.zeros(256, bool)
+        self.simple[codes] = True
+        self.byte_ids = np.array([vocab[c] for c in self.letters]), np.array([vocab[c] for c in ends])
+        self.byte_codes = np.array([ord(c) for c in self.letters])
+        pair = np.array([(vocab[a] << 32) | vocab[b] for a, b in merges], np.int64)
+        order = np.argsort(pair, kind="stable")
+        self.merge_pairs, self.merge_ranks = pair[order], order
+        self.merge_ids = np.array([vocab[a + b] for a, b in merges], np.int64)
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = (a << 32) | b
+        at = np.minimum(np.searchsorted(self.merge_pairs, pair), len(self.merge_pairs) - 1)
+        return np.where(self.merge_pairs[at] == pair, self.merge_ranks[at], _NEVER)
+
+    def merged(self, ids: np.ndarray, joined: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """BPE of many fragments side by side: ids and their owners afterwards.
+        ``joined``: whether an id and the next are of one fragment.  A round
+        merges, in every fragment, its pair of least rank wherever it stands."""
+
+        rank = np.full(len(ids), _NEVER)
+        at = np.flatnonzero(joined)
+        rank[at] = self._rank(ids[at], ids[at + 1])
+        fragment = np.cumsum(np.append(True, ~joined[:-1])) - 1
+        done: list[tuple[np.ndarray, ...]] = []
+        while len(ids):
+            heads = np.flatnonzero(np.append(True, fragment[1:] != fragment[:-1]))
+            size = np.diff(np.append(heads, len(ids)))
+            low = np.repeat(np.minimum.reduceat(rank, heads), size)
+            over = low == _NEVER
+            done.append((fragment[over], ids[over], owner[over]))
+            ids, joined, owner, fragment, rank, low = (x[~over] for x in (ids, joined, owner, fragment, rank, low))
+            at = np.flatnonzero(rank == low)
+            if not len(at):
+                break
+            new = np.append(True, at[1:] != at[:-1] + 1)  # overlapping ones: every second from the left
+            since = np.arange(len(at)) - np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+            at = at[since % 2 == 0]
+            ids[at] = self.merge_ids[rank[at]]
+            joined[at] = joined[at + 1]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, joined, owner, fragment, rank = (x[keep] for x in (ids, joined, owner, fragment, rank))
+            at -= np.arange(len(at))
+            rank[at] = _NEVER
+            change = np.zeros(len(ids), bool)
+            change[at] = change[np.maximum(at, 1) - 1] = True
+            change = np.flatnonzero(change & joined)
+            rank[change] = self._rank(ids[change], ids[change + 1])
+        fragment, ids, owner = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(fragment, kind="stable")
+        return ids[order], owner[order]
+
+    def _simple_ids(self, raw: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the words (bytes end to end, lengths) are simple, the ids of
+        those end to end, and how many each of them has."""
+
+        word = np.repeat(np.arange(len(length)), length)
+        tail = (raw & 0xC0) == 0x80
+        behind = np.append(np.uint8(0), raw[:-1])
+        code = np.where(tail, (raw & 0x3F) | 0xC0, raw).astype(np.uint8)
+        good = np.where(tail, (behind == 0xC3) & self.simple[code], (raw == 0xC3) | (raw < 0x80) & self.simple[raw])
+        simple = np.logical_and.reduceat(good, np.cumsum(length) - length) & (length <= _SIMPLE_BYTES)
+        mine = simple[word]
+        raw, word, tail, code = raw[mine], word[mine], tail[mine], code[mine]
+        if not len(raw):
+            return simple, np.zeros(0, np.int32), np.zeros(0, np.int64)
+        upper = np.where(tail, (code >= 0xC0) & (code <= 0xDE), (raw >= 65) & (raw <= 90))
+        raw, code = raw + 32 * upper.astype(np.uint8), code + 32 * upper.astype(np.uint8)
+        code = np.where(raw == 0xC3, np.append(code[1:], np.uint8(0)), code)  # a lead byte has its code point's
+        ends = np.append(word[1:] != word[:-1], True)
+        ends[:-1] |= ~tail[1:] & self.splits[code[:-1], code[1:]]
+        ids = np.where(ends, self.byte_ids[1][raw], self.byte_ids[0][raw])
+        letter = self.byte_codes[raw]
+        joined = ~ends
+        joined[:-1] &= self.pairs[letter[:-1], letter[1:]]  # forced boundaries
+        flat, owner = self.merged(ids, joined, word)
+        return simple, flat.astype(np.int32), np.bincount(owner, minlength=len(length))[simple]
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text without special tokens, by the library."""
@@ -156,8 +298,8 @@ class ForcedBoundaryBPE:
             out.update(zip(some, [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)], strict=True))
         return out
 
-    def learn(self, chunks: list[str]) -> None:
-        """Put the ids of new chunks into the cache."""
+    def learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of the chunks, which are distinct."""
 
         plain: list[str] = []
         if self.plain_pieces is not None:
@@ -169,35 +311,101 @@ class ForcedBoundaryBPE:
         rest = [c for c in chunks if c not in known] if len(plain) < len(chunks) else []
         plans: list[list[str | int]] = [*ready, *self._pieces_of(rest)]
         # plain pieces are text, the others byte letters already
+        coded = self.known_pieces
         text = {p for plan in ready for p in plan}
-        letters = {p: p if p.isascii() else p.encode().decode("latin-1").translate(self.letter_of) for p in text}
+        if len(coded) + len(text) > PIECES:
+            coded = self.known_pieces = {p: coded[p] for p in text if p in coded}
+        letters = {p: p if p.isascii() else p.encode().decode("latin-1").translate(self.letter_of) for p in text if p not in coded}
         given = {p for plan in plans[len(plain) :] for p in plan if type(p) is str}
         pieces = list({*letters.values(), *given})
         cuts = self.fragments(pieces) if pieces else {}
         inner = self._ids(self.inner, list({f for parts in cuts.values() for f in parts[:-1]}))
         final = self._ids(self.final, list({cuts[p][-1] if p in cuts else p for p in pieces}))
         whole = {p: b"".join([*(inner[f] for f in parts[:-1]), final[parts[-1]]]) for p, parts in cuts.items()}
-        coded = {p: whole[x] if x in whole else final[x] for p, x in letters.items()}
-        cache = self.cache
-        for c, plan in zip(plain, ready, strict=True):
-            cache[c] = coded[plan[0]] if len(plan) == 1 else b"".join([coded[p] for p in plan])
+        coded.update((p, whole[x] if x in whole else final[x]) for p, x in letters.items())
+        out = {c: coded[plan[0]] if len(plan) == 1 else b"".join([coded[p] for p in plan]) for c, plan in zip(plain, ready, strict=True)}
         for c, plan in zip(rest, plans[len(plain) :], strict=True):
-            cache[c] = b"".join([array("i", [p]).tobytes() if type(p) is int else whole[p] if p in whole else final[p] for p in plan])
+            out[c] = b"".join([array("i", [p]).tobytes() if type(p) is int else whole[p] if p in whole else final[p] for p in plan])
+        return [out[c] for c in chunks]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text.  Beyond ``CACHE`` words only
-        those of the texts at hand are kept."""
+    def encode_buffer(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts (UTF-8 bytes, offsets) end to end, and how many each has."""
 
         if self.drops_space:
-            split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
+            starts, ends = word_spans(buf, off, _DROPPED)
+        else:
+            has = np.diff(off) > 0
+            starts, ends = off[:-1][has], off[1:][has]
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(off) - 1, np.int64)
+        hashes, checks = span_hashes(buf, starts, ends, _BYTE, _BYTE_OTHER)
+        h, at, word = np.unique(hashes, return_index=True, return_inverse=True)
+        check = checks[at]
+        # words of one first hash but another second one (about one in 2**64): each by itself
+        alone = np.flatnonzero(checks != check[word])
+        if len(alone):
+            word[alone] = len(h) + np.arange(len(alone))
+            at = np.append(at, alone)
+        first, count, parts, held = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [], 0
+        left = np.arange(len(at))
+        for ids in (self.young, self.old):
+            here = left[left < len(h)]
+            known, place = ids.find(h[here], check[here])
+            rows = here[known]
+            first[rows], count[rows] = held + ids.starts[place], ids.counts[place]
+            if ids is self.old and len(rows):  # still in use: young again
+                self._keep(h[rows], check[rows], ids.counts[place], ragged(ids.flat, ids.starts[place], ids.counts[place].astype(np.int64)))
+            parts.append(ids.flat)
+            held += len(ids.flat)
+            left = np.setdiff1d(left, rows, assume_unique=True)
+        if len(left):
+            new, count[left] = self.learn_spans(buf, starts[at[left]], ends[at[left]])
+            first[left] = held + np.cumsum(count[left]) - count[left]
+            parts.append(new)
+            own = left < len(h)
+            rows = left[own]
+            self._keep(h[rows], check[rows], count[rows], new if own.all() else ragged(new, first[rows] - held, count[rows]))
+        each = count[word]
+        flat = ragged(np.concatenate(parts), first[word], each)
+        before = np.zeros(len(word) + 1, np.int64)
+        np.cumsum(each, out=before[1:])
+        return flat, np.diff(before[np.searchsorted(starts, off)])
+
+    def learn_spans(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words end to end, and how many each has: simple words side
+        by side, the others through the library's components."""
+
+        length = ends - starts
+        counts = np.zeros(len(starts), np.int64)
+        if self.simple is None:
+            simple, flat = np.zeros(len(starts), bool), np.zeros(0, np.int32)
         else:
-            split = [[t] if t else [] for t in texts]
-        here = set(chain.from_iterable(split))
-        if len(self.cache) + len(here) > CACHE:
-            self.cache = {c: self.cache[c] for c in here if c in self.cache}
-        if new := [c for c in here if c not in self.cache]:
-            self.learn(new)
-        return [b"".join(map(self.cache.__getitem__, chunks)) for chunks in split]
+            simple, flat, some = self._simple_ids(ragged(buf, starts, length), length)
+            counts[simple] = some
+        texts = [buf[a:b].tobytes().decode() for a, b in zip(starts[~simple].tolist(), ends[~simple].tolist(), strict=True)]
+        if not texts:
+            return flat, counts
+        distinct = list(dict.fromkeys(texts))
+        by = dict(zip(distinct, self.learn(distinct), strict=True))
+        found = [by[t] for t in texts]
+        counts[~simple] = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.zeros(len(starts), np.int64)
+        for k, base in ((simple, 0), (~simple, len(flat))):
+            first[k] = base + np.cumsum(counts[k]) - counts[k]
+        return ragged(np.append(flat, np.frombuffer(b"".join(found), np.int32)), first, counts), counts
+
+    def _keep(self, h: np.ndarray, check: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        if len(self.young.h) + len(h) > CACHE or len(self.young.flat) + len(flat) > CACHE_IDS:
+            self.old, self.young = self.young, WordIds()
+        if len(h) <= CACHE and len(flat) <= CACHE_IDS:
+            self.young = self.young.with_words(h, check, counts, flat)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+
+        flat, counts = self.encode_buffer(*text_buffer(pa.array(texts, pa.large_string())))
+        ends = np.cumsum(counts)
+        return [flat[a:b].tobytes() for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
 
 
 _MADE: dict[str, ForcedBoundaryBPE] = {}
@@ -226,44 +434,44 @@ def _appended(df: DataFrame, fields: list[T.StructField], keep: list[str] | None
     return kept, T.StructType([df.schema[c] for c in kept] + fields)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with ``ids`` array<int>, the token
-    ids of the column ``text``."""
-
-    spec = read_spec(tokenizer)
-    kept, schema = _appended(docs, [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)], keep)
+def _encoding(spec: str, text: str, kept: list[str]):
+    """Batches with the column ``text`` to batches of ``kept`` and ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec)
         for batch in batches:
-            for i, j, _, _ in text_batches(batch, text, RUN):
+            for i, j, buf, off in text_batches(batch, text, RUN):
                 rows = batch.slice(i, j - i)
-                coded = bpe.encode([t or "" for t in rows.column(text).to_pylist()])
-                at = np.zeros(len(coded) + 1, np.int32)
-                np.cumsum([len(c) // 4 for c in coded], out=at[1:])
-                ids = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+                flat, counts = bpe.encode_buffer(buf, off)
+                at = np.zeros(len(counts) + 1, np.int32)
+                np.cumsum(counts, out=at[1:])
+                ids = pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), ids], [*kept, "ids"])
 
-    return docs.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{text}`"])).mapInArrow(run, schema)
+    return run
 
 
-def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
-    """``df`` (or its columns ``keep``) with ``out``, the text of the ids:
-    for a tokenizer without decoder its tokens joined by spaces, for the
-    byte-level decoder the bytes its tokens stand for."""
+_NAMES: dict[str, tuple] = {}
 
-    spec = read_spec(tokenizer)
-    kind = (json.loads(spec).get("decoder") or {}).get("type")
-    if kind not in (None, "ByteLevel"):
-        raise ValueError(f"no support for the decoder {kind}")
-    kept, schema = _appended(df, [T.StructField(out, T.StringType(), False)], keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _names(spec: str) -> tuple:
+    """The worker's decoder: tokens by id, and a pattern of the special ones."""
+
+    if spec not in _NAMES:
         parsed = json.loads(spec)
         special_ids = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
         special = re.compile("(" + "|".join(map(re.escape, sorted(special_ids, key=len, reverse=True))) + ")") if special_ids else None
         by_id = {i: t for t, i in [*parsed["model"]["vocab"].items(), *special_ids.items()]}
-        names = pa.array([by_id.get(i) for i in range(1 + max(by_id))], pa.large_string())
+        _NAMES.clear()
+        _NAMES[spec] = pa.array([by_id.get(i) for i in range(1 + max(by_id))], pa.large_string()), special, (parsed.get("decoder") or {}).get("type")
+    return _NAMES[spec]
+
+
+def _decoding(spec: str, ids: str, out: str, kept: list[str]):
+    """Batches with the column ``ids`` to batches of ``kept`` and ``out``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, special, kind = _names(spec)
         byte_of = {c: b for b, c in enumerate(_byte_letters())}
         for batch in batches:
             lists = batch.column(ids)
@@ -297,4 +505,42 @@ def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), texts], [*kept, out])
                 i = j
 
-    return df.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{ids}`"])).mapInArrow(run, schema)
+    return run
+
+
+def _checked(spec: str) -> str:
+    kind = (json.loads(spec).get("decoder") or {}).get("type")
+    if kind not in (None, "ByteLevel"):
+        raise ValueError(f"no support for the decoder {kind}")
+    return spec
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``ids`` array<int>, the token
+    ids of the column ``text``."""
+
+    kept, schema = _appended(docs, [_IDS], keep)
+    return docs.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{text}`"])).mapInArrow(_encoding(read_spec(tokenizer), text, kept), schema)
+
+
+def decode_ids(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with ``out``, the text of the ids:
+    for a tokenizer without decoder its tokens joined by spaces, for the
+    byte-level decoder the bytes its tokens stand for."""
+
+    spec = _checked(read_spec(tokenizer))
+    kept, schema = _appended(df, [T.StructField(out, T.StringType(), False)], keep)
+    return df.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{ids}`"])).mapInArrow(_decoding(spec, ids, out, kept), schema)
+
+
+def encode_and_decode(docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``ids`` and, decoded from them,
+    ``decoded``: both in one Python worker a task."""
+
+    spec = _checked(read_spec(tokenizer))
+    kept, schema = _appended(docs, [_IDS, T.StructField("decoded", T.StringType(), False)], keep)
+    encoded, decoded = _encoding(spec, text, kept), _decoding(spec, "ids", "decoded", [*kept, "ids"])
+    return docs.select(*dict.fromkeys([*(f"`{c}`" for c in kept), f"`{text}`"])).mapInArrow(lambda batches: decoded(encoded(batches)), schema)

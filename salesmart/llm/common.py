@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.session import scratch_path
+from salesmart.session import staged_copy
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -21,10 +21,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     costs a re-read, and gives later joins a plain scan on both sides (the
     shape AQE can split when one key is hot)."""
 
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged_copy(df, name)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -66,6 +63,7 @@ _RNG = np.random.default_rng(20240611)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
+_BYTE_OTHER = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a second hash, for 128 bits
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -107,41 +105,55 @@ def text_buffer(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return buf[off[0] : off[-1]], off - off[0]
 
 
-def words(buf: np.ndarray, off: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` in order, and the
-    index of the first word of each text (one more entry than texts).
-
-    Polynomial hashes come from prefix sums over blocks of bytes, so the work
-    per byte is a few vectorised operations and memory is bounded by a block
-    (or by one word, if that is longer)."""
+def word_spans(buf: np.ndarray, off: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every run of bytes that are not ``space``, within
+    the texts that ``off`` delimits, in order."""
 
-    if not len(buf):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
-    solid = ~_SPACE[buf]
+    solid = ~space[buf]
     first = np.zeros(len(buf) + 1, bool)
     first[off] = True
     before = np.empty(len(buf), bool)
-    before[0] = False
+    before[:1] = False
     before[1:] = solid[:-1]
     starts = np.flatnonzero(solid & (~before | first[:-1]))
     after = np.empty(len(buf), bool)
-    after[-1] = False
+    after[-1:] = False
     after[:-1] = solid[1:]
-    ends = np.flatnonzero(solid & (~after | first[1:])) + 1
-    table = _BYTE_LOWER if lower else _BYTE
-    out = np.empty(len(starts), np.uint64)
+    return starts, np.flatnonzero(solid & (~after | first[1:])) + 1
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, *tables: np.ndarray) -> list[np.ndarray]:
+    """For each table of byte values, a 64-bit hash of every span (ascending
+    and apart).
+
+    Polynomial hashes come from prefix sums over blocks of bytes, so the work
+    per byte is a few vectorised operations and memory is bounded by a block
+    (or by one span, if that is longer)."""
+
+    out = [np.empty(len(starts), np.uint64) for _ in tables]
     i = 0
     while i < len(starts):
         at = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, at + _BLOCK, "right")))
         part = buf[at : ends[j - 1]]
         power, inverse = _powers(len(part) + 1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(table[part] * power[: len(part)], out=sums[1:])
         s, e = starts[i:j] - at, ends[i:j] - at
-        out[i:j] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        for k, table in enumerate(tables):
+            np.cumsum(table[part] * power[: len(part)], out=sums[1:])
+            out[k][i:j] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
         i = j
-    return out, np.searchsorted(starts, off)
+    return out
+
+
+def words(buf: np.ndarray, off: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` in order, and the
+    index of the first word of each text (one more entry than texts)."""
+
+    if not len(buf):
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+    starts, ends = word_spans(buf, off)
+    return span_hashes(buf, starts, ends, _BYTE_LOWER if lower else _BYTE)[0], np.searchsorted(starts, off)
 
 
 def shingles(hashes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

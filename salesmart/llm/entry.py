@@ -37,9 +37,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = bpe.encode_documents(_table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    both = bpe.decode_ids(coded, path, keep=["doc_id", "ids"])
+    both = bpe.encode_and_decode(_table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -129,21 +129,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     docs = docs.select("doc_id", "text")
     bounds = id_bounds(docs, "doc_id", partitions(spark))
     shards = max(1, len(bounds))
-    end = np.array([end_id], "<i4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, first = encoder(spec), 0
         for batch in batches:
-            for i, j, _, _ in text_batches(batch, "text", 2 * RUN):
+            for i, j, buf, off in text_batches(batch, "text", 2 * RUN):
                 rows = batch.slice(i, j - i)
-                coded = [c + end for c in bpe.encode([t or "" for t in rows.column("text").to_pylist()])]
-                ids = np.frombuffer(b"".join(coded), "<i4")
+                flat, counts = bpe.encode_buffer(buf, off)
+                ids = np.insert(flat, np.cumsum(counts), end_id)
                 words, offsets = pack(ids)
                 row = {
                     "shard": [rows.column("shard")[0].as_py()],
                     "first": [first],
                     "doc_ids": [rows.column("doc_id").to_pylist()],
-                    "lengths": [[len(c) // 4 for c in coded]],
+                    "lengths": [(counts + 1).tolist()],
                     "n_ids": [len(ids)],
                     "offsets": [offsets.astype("<u4").tobytes()],
                     "words": [words.astype("<u8").tobytes()],

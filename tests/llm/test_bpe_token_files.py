@@ -44,6 +44,45 @@ def test_encoding_and_decoding_equal_the_library(docs, name):
         assert r.back == lib.decode(want, skip_special_tokens=False)
 
 
+def test_one_pass_gives_what_two_give(docs):
+    path = entry.tokenizer_path()
+    two = bpe.decode_ids(bpe.encode_documents(docs, path), path)
+    one = bpe.encode_and_decode(docs, path)
+    assert one.columns == ["doc_id", "text", "ids", "decoded"]
+    key = lambda r: repr((r.doc_id, r.text, r.ids, r.decoded))
+    assert sorted(map(key, one.collect())) == sorted(map(key, two.collect()))
+
+
+def test_random_texts_and_evicted_words(library, monkeypatch):
+    """Simple and other words, overlapping merges, forced boundaries; generations
+    of a few words are replaced many times over."""
+
+    import random
+
+    monkeypatch.setattr(bpe, "CACHE", 300)
+    monkeypatch.setattr(bpe, "PIECES", 50)
+    rng = random.Random(3)
+    alphabet = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0x180)]] + list("   \n\t\r\x0b\x85 日🙂\u0301\u017fK") + list("aeioutnrsthe" * 6)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    texts += ["".join(rng.choice("aab") for _ in range(rng.randrange(80))) for _ in range(500)]
+    texts += ["".join(rng.choice("ÀéßÞþabÉ12<|>' ") for _ in range(rng.randrange(40))) for _ in range(1000)]
+    coder = bpe.ForcedBoundaryBPE(bpe.read_spec(entry.tokenizer_path()))
+    for k in range(0, len(texts), 90):
+        part = texts[k : k + 90]
+        got = [np.frombuffer(x, np.int32).tolist() for x in coder.encode(part)]
+        assert got == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
+def test_words_of_one_first_hash_are_told_apart(monkeypatch, library):
+    """All words collide in the first hash: the second still tells them apart."""
+
+    monkeypatch.setattr(bpe, "_BYTE", np.zeros(256, np.uint64))
+    coder = bpe.ForcedBoundaryBPE(bpe.read_spec(entry.tokenizer_path()))
+    for texts in (["one two six", "ten two one"], ["six ten", "one"]):
+        got = [np.frombuffer(x, np.int32).tolist() for x in coder.encode(texts)]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_unknown_ids_and_nulls_decode(spark):
     df = spark.createDataFrame([(1, [5, 10**6, -1, 6]), (2, []), (3, None)], "k int, ids array<int>")
     lib = Tokenizer.from_file(entry.tokenizer_path())
