@@ -12,12 +12,13 @@ Plan shape (per dataset):
   keys anti-joined with the parent's keys) and left joins that exception
   set back.
 
-Joins carry no hints: AQE broadcasts the duplicated-key or dangling-key
-side where it is measured small and runs a sort-merge join otherwise.  AQE
-does not split such a join's hot keys (its small side is an aggregate, already
-partitioned by the key), so the joins back are salted: the rows go by (key,
-salt) with a salt from their other values, and the exception set is repeated
-once a salt.  A hot key, or the null keys, then reach ``SALTS`` tasks.
+Exception sets are staged: written once under the shared checkpoint folder
+(``session.staged_copy``) while the plan is built.  A set that is small enough
+is then broadcast by the planner, which knows the file's size, and the rows of
+the dataset are not shuffled at all.  A large one is joined by sort-merge
+between plain scans or shuffles, the shape in which AQE splits a hot key's rows
+over tasks.  Null keys match nothing: in such a join they are dealt out by a hash of
+the row instead of meeting in one task.  No side is ever repeated.
 """
 
 from __future__ import annotations
@@ -30,25 +31,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.rules import Rule, condition, duplicate_flag_column, failure_reasons, validate
+from salesmart.session import staged_copy
 
-# Parts that the rows of one key are dealt to in the joins back.
-SALTS = 16
-_SALT = "_dq_salt"
+# Parts that rows with a null key are dealt to in the joins back; other rows are in part 0.
+NULL_PARTS = 1024
+_PART = "_dq_part"
 
 PASSED = "PASSED"
 REJECTED = "REJECTED"
 
 
-def load_rules(rules: DataFrame, dataset_name: str) -> list[Rule]:
-    """Active rules of a dataset, in (rule_order, rule_id) order, validated.
+def load_rule_sets(rules: DataFrame) -> RuleSets:
+    """Active rules of every dataset, each in (rule_order, rule_id) order.
 
     The catalog is control data (tens of rows), so it is collected to the
-    driver where the rules are compiled into column expressions.
+    driver, where the rules are compiled into column expressions: once for all
+    datasets, and without a job where it is a local relation (the shipped
+    catalog).  A rule that is not valid stops the run when its dataset's rules
+    are asked for (``load_rules``, ``RuleSets``).
     """
 
-    from salesmart.sources.rule_catalog import active_rules_df
+    return RuleSets(rules)
+
+
+class RuleSets(Mapping):
+    """``load_rule_sets``: dataset name to validated rules."""
+
+    def __init__(self, rules: DataFrame):
+        self._rows: dict[str, list] = {}
+        for row in rules.where(rules.is_active).collect():
+            self._rows.setdefault(row["dataset_name"], []).append(row)
+
+    def __getitem__(self, dataset_name: str) -> list[Rule]:
+        ordered = sorted(self._rows.get(dataset_name, []), key=_rule_place)
+        return [validate(Rule.of(row)) for row in ordered]
+
+    def __iter__(self):
+        return iter(self._rows)
+
+    def __len__(self) -> int:
+        return len(self._rows)
+
+
+def _rule_place(row) -> tuple:
+    """Ascending (rule_order, rule_id), nulls first: the order of ``active_rules_df``."""
+
+    order, rule_id = row["rule_order"], row["rule_id"]
+    return (order is not None, order or 0, rule_id is not None, rule_id or "")
+
+
+def load_rules(rules: DataFrame, dataset_name: str) -> list[Rule]:
+    """Active rules of one dataset in evaluation order, validated."""
 
-    return [validate(Rule.of(row)) for row in active_rules_df(rules, dataset_name).collect()]
+    return RuleSets(rules.where(rules.dataset_name == dataset_name))[dataset_name]
 
 
 def _quoted(name: str):
@@ -73,27 +108,27 @@ def duplicate_keys(df: DataFrame, key: str, flag: str | None = None) -> DataFram
     )
 
 
-def join_back(df: DataFrame, exceptions: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
-    """``df`` left joined to ``exceptions`` (one row a key) by (key, salt).
+def join_back(df: DataFrame, exceptions: DataFrame, key: str) -> DataFrame:
+    """``df`` left joined to the staged ``exceptions`` (one row a key).
 
-    The salt is a hash of the row's other columns, so a retried task deals its
-    rows alike.  Rows that agree in every column share a salt."""
+    Rows with a null key, which match nothing, are dealt to ``NULL_PARTS``
+    parts by a hash of their other columns (so a retried task deals them
+    alike)."""
 
     others = [_quoted(f.name) for f in df.schema.fields if f.name != key and not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    if salts <= 1 or not others:
+    if not others:
         return df.join(exceptions, on=key, how="left")
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    repeated = exceptions.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, on=[key, _SALT], how="left").drop(_SALT)
+    part = F.when(_quoted(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
+    return df.withColumn(_PART, part).join(exceptions.withColumn(_PART, F.lit(0)), on=[key, _PART], how="left").drop(_PART)
 
 
-def add_duplicate_flags(df: DataFrame, keys: Iterable[str], salts: int = SALTS) -> DataFrame:
+def add_duplicate_flags(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Append ``_dq_dup__<key>`` (TRUE if the key is duplicated) per key."""
 
     out, columns = df, list(df.columns)
     for key in dict.fromkeys(keys):
         flag = duplicate_flag_column(key)
-        out = join_back(out, duplicate_keys(df, key, flag), key, salts)
+        out = join_back(out, staged_copy(duplicate_keys(df, key, flag), "duplicate-keys"), key)
         columns.append(flag)
     return out.select(*[_quoted(c) for c in columns])
 
@@ -118,22 +153,19 @@ def flag_references(
     df: DataFrame,
     references: Sequence[tuple[str, DataFrame, str]],
     strategy: str = "exceptions",
-    salts: int = SALTS,
 ) -> DataFrame:
     """For each ``(key, parent, flag)``: ``flag`` is TRUE where the key exists
     among the parent's keys and NULL otherwise (also for a NULL key).
 
     ``strategy="exceptions"`` (for table-backed inputs, the default): the
-    *dangling* keys (used but unknown) are found on key-only data, then left
-    joined back.  A parent rejected for any reason makes all its rows dangle, so
-    the set is often large and the join a sort-merge join (see ``join_back``);
-    where it is measured small AQE broadcasts it.  The key-only
-    branch re-reads ``df``: a columnar scan when ``df`` is a table.
+    *dangling* keys (used but unknown) are found on key-only data, staged, and
+    left joined back.  A parent rejected for any reason makes all its rows
+    dangle, so the set can be large; see the module's text for both cases.  The
+    key-only branch re-reads ``df``: a columnar scan when ``df`` is a table.
 
-    ``strategy="join"``: left join the parent's distinct keys directly (one
-    branch over ``df``; AQE broadcasts the key set when it is measured
-    small, else a sort-merge join shuffles ``df``).  Cheaper when ``df`` is
-    a long lazy plan that a second branch would derive again.
+    ``strategy="join"``: the parent's distinct keys are staged and left joined
+    (one branch over ``df``).  Cheaper when ``df`` is a long lazy plan that a
+    second branch would derive again.
 
     Output columns follow the original engine's USING joins: the keys move
     to the front, the last-joined key first; the flags are appended.
@@ -145,11 +177,11 @@ def flag_references(
     for key, parent, flag in references:
         if strategy == "join":
             keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
-            out = join_back(out, keys.withColumn(flag, F.lit(True)), key, salts)
+            out = join_back(out, staged_copy(keys.withColumn(flag, F.lit(True)), "parent-keys"), key)
             continue
         marker = f"_dq_dangling__{flag}"
         out = (
-            join_back(out, dangling_keys(df, key, parent, marker), key, salts)
+            join_back(out, staged_copy(dangling_keys(df, key, parent, marker), "dangling-keys"), key)
             .withColumn(flag, F.when(_quoted(key).isNotNull() & _quoted(marker).isNull(), F.lit(True)))
             .drop(marker)
         )

@@ -139,9 +139,29 @@ def session_conf(spark: SparkSession, conf: dict):
                 spark.conf.set(key, value)
 
 
+_STAGED: dict[str, list[str]] = {}  # application id -> folders it staged
+
+
 def staged_copy(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under the shared checkpoint folder and read again."""
+    """``df`` written under the shared checkpoint folder and read again.
+
+    The lineage ends there, so a lost executor costs a re-read, and the planner
+    knows the size of what it joins."""
 
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete what ``staged_copy`` wrote in this application; DataFrames that
+    read it fail afterwards.  Returns the number of folders."""
+
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)

@@ -7,7 +7,9 @@ can deactivate, add or change rules in the table without touching code.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from salesmart.schemas import RULES
 
@@ -81,9 +83,16 @@ PRODUCT_REFERENCE_FLAG = "_product_reference_valid"
 
 
 def shipped_rules_df(spark: SparkSession) -> DataFrame:
-    """The shipped catalog as a DataFrame with the rules-table schema."""
+    """The shipped catalog as a DataFrame with the rules-table schema.
 
-    return spark.createDataFrame(SHIPPED_RULES, RULES)
+    The rows come as an Arrow table, which becomes a local relation: the
+    optimizer itself evaluates filters and projections of it, so reading the
+    catalog starts no Spark job."""
+
+    columns = zip(*SHIPPED_RULES, strict=True)
+    arrow = to_arrow_schema(RULES)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+    return spark.createDataFrame(table, RULES)
 
 
 RULE_FIELDS = (

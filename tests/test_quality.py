@@ -153,32 +153,101 @@ def _rows_per_task(df, tmp_dir):
     return sorted(pq.ParquetFile(f).metadata.num_rows for f in glob.glob(tmp_dir + "/out/*.parquet"))
 
 
-def test_salt_splits_hot_and_null_keys(spark, tmp_dir):
-    """A third of the rows on one key, a third on null: no task of the join back
-    holds twice the mean, in either operator and strategy."""
+def test_hot_and_null_keys_are_split(spark, tmp_dir):
+    """A third of the rows on one key, a third on null, and no broadcast: AQE
+    splits the hot key between the staged sets and the rows, null keys are
+    dealt out, and no exception set is repeated; in either operator and strategy."""
 
     from salesmart.operators.quality import add_duplicate_flags
     from salesmart.session import session_conf
 
     n = 60_000
-    df = spark.range(n).select(
+    df = spark.range(0, n, 1, 8).select(
         F.col("id").alias("row_id"),
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"),
     )
     parent = spark.range(0, n, 5).select(F.col("id").cast("string").alias("k"))
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
     forms = {
-        "dup": lambda salts: add_duplicate_flags(df, ["k"], salts),
-        "ref": lambda salts: flag_references(df, [("k", parent, "f")], "exceptions", salts),
-        "join": lambda salts: flag_references(df, [("k", parent, "f")], "join", salts),
+        "dup": lambda: add_duplicate_flags(df, ["k"]),
+        "ref": lambda: flag_references(df, [("k", parent, "f")], "exceptions"),
+        "join": lambda: flag_references(df, [("k", parent, "f")], "join"),
     }
     with session_conf(spark, conf):
+        plain = {name: form().count() for name, form in forms.items()}
         for name, form in forms.items():
-            held = _rows_per_task(form(64), f"{tmp_dir}/{name}")
-            assert sum(held) == n and held[-1] < 2 * n / 8, (name, held)
-            plain, salted = form(1), form(64)
-            assert plain.columns == salted.columns
-            assert plain.exceptAll(salted).count() == salted.exceptAll(plain).count() == 0
+            out = form()
+            plan = out._jdf.queryExecution().executedPlan()
+            held = _rows_per_task(out, f"{tmp_dir}/{name}")
+            assert sum(held) == n == plain[name] and held[-1] < 2 * n / 8, (name, held)
+            assert "Generate" not in plan.toString()
+        out = forms["ref"]()
+        assert out.where("f").count() == parent.join(df.where("k <> 'HOT'"), "k").count()
+
+
+def test_small_exception_sets_leave_the_rows_unshuffled(spark):
+    """The planner knows a staged set's size: small ones are broadcast and the
+    dataset is not shuffled."""
+
+    df = spark.range(5000).select((F.col("id") % 4000).cast("string").alias("k"), F.col("id").alias("v"))
+    plan = annotate(df, [Rule("UNIQUE", "k", "DUP")])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_staged_sets_can_be_released(spark):
+    import os
+
+    from salesmart.session import local_dir, release_staged, staged_copy
+
+    release_staged(spark)
+    df = staged_copy(spark.range(3).toDF("x"), "to-release")
+    folder = local_dir(df.inputFiles()[0].rsplit("/", 1)[0])
+    assert os.path.isdir(folder) and df.count() == 3
+    assert release_staged(spark) == 1 and not os.path.exists(folder)
+    assert release_staged(spark) == 0
+
+
+def test_the_shipped_catalog_starts_no_job(spark):
+    """Its rows are a local relation that the optimizer evaluates; a rules table
+    costs one job for all datasets."""
+
+    from salesmart.operators.quality import load_rule_sets, load_rules
+    from salesmart.sources.rule_catalog import active_rules_df, shipped_rules_df
+
+    sc = spark.sparkContext
+
+    def jobs(group, run):
+        sc.setJobGroup(group, group)
+        try:
+            return run(), len(sc.statusTracker().getJobIdsForGroup(group))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+
+    sets, started = jobs("catalog-local", lambda: load_rule_sets(shipped_rules_df(spark)))
+    assert started == 0 and len(sets) == 3
+    for ds in sets:
+        assert sets[ds] == load_rules(shipped_rules_df(spark), ds)
+        assert [r.rule_id for r in sets[ds]] == [r["rule_id"] for r in active_rules_df(shipped_rules_df(spark), ds).collect()]
+    shipped_rules_df(spark).write.mode("overwrite").saveAsTable("rules_for_jobs")
+    try:
+        again, started = jobs("catalog-table", lambda: load_rule_sets(spark.table("rules_for_jobs")))
+        assert started == 1 and {ds: again[ds] for ds in again} == {ds: sets[ds] for ds in sets}
+    finally:
+        spark.sql("DROP TABLE rules_for_jobs")
+
+
+def test_rule_order_with_nulls_follows_the_sort(spark):
+    from salesmart.operators.quality import load_rules
+    from salesmart.schemas import RULES
+    from salesmart.sources.rule_catalog import active_rules_df
+
+    base = ("ds", "G", "n", "NOT_NULL", "c", None, "R")
+    rows = [("b", *base, None, True), (None, *base, 2, True), ("a", *base, 2, True), ("é", *base, 1, True), ("z", *base, 1, True), ("x", *base, 1, None), ("y", *base, 1, False)]
+    df = spark.createDataFrame(rows, RULES)
+    assert [r.rule_id for r in load_rules(df, "ds")] == [r["rule_id"] or "" for r in active_rules_df(df, "ds").collect()]
 
 
 def test_shipped_rules_per_dataset_and_type(spark):
