@@ -53,9 +53,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3."""
 
-    path = tokenizer_path()
-    coded = bpe.encode_documents(docs.select("doc_id", "source", "text"), path, keep=["doc_id", "source"])
-    return bpe.decode_ids(coded, path).select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
+    coded = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), tokenizer_path(), keep=["doc_id", "source"])
+    return coded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
 
 
 STAGES = [

@@ -27,18 +27,18 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.cleaning import CLEANERS
 from salesmart.operators import marts, star
-from salesmart.operators.quality import PASSED, REJECTED, annotate, load_rules, split
+from salesmart.operators.quality import PASSED, REJECTED, annotate, load_rule_sets, split
 from salesmart.plans.views import check_orders
 from salesmart.session import check_session, ensure_checkpoint_dir, session_conf
 from salesmart.settings import DATASETS, Settings
 from salesmart.sources.files import read_source
-from salesmart.sources.tables import create_zones, overwrite_table, replace_view, seed_rules
+from salesmart.sources.tables import Prepared, create_zones, discard, overwrite_table, prepare_table, publish, replace_view, seed_rules
 
 SUCCESS = "SUCCESS"
 UNSORTED_PARTITION_WRITE = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.optimizer.plannedWrite.enabled": "false",
-    # the two partitions are found by listing, so the table can be renamed into place
+    # the two partitions are found by listing
     "spark.sql.hive.manageFilesourcePartitions": "false",
 }
 
@@ -153,16 +153,16 @@ def run_quality(spark: SparkSession, settings: Settings) -> dict:
     passed customers and products."""
 
     _session(spark)
-    rules = spark.table(settings.rules_table)
+    rules = load_rule_sets(spark.table(settings.rules_table))
     summary = {}
     for dataset in ("customers", "products"):
         clean = CLEANERS[dataset](spark.table(settings.raw_table(dataset)))
-        summary[dataset] = write_checked(annotate(clean, load_rules(rules, dataset), settings.as_of), dataset, settings)
+        summary[dataset] = write_checked(annotate(clean, rules[dataset], settings.as_of), dataset, settings)
     orders = check_orders(
         CLEANERS["orders"](spark.table(settings.raw_table("orders"))),
         spark.table(settings.valid_table("customers")),
         spark.table(settings.valid_table("products")),
-        load_rules(rules, "orders"),
+        rules["orders"],
         settings.as_of,
         settings.reference_strategy,
     )
@@ -172,26 +172,29 @@ def run_quality(spark: SparkSession, settings: Settings) -> dict:
 
 
 def run_enrich(spark: SparkSession, settings: Settings) -> dict:
-    """Dimensions and the order_sales fact; refuses to write if the joins
-    would change the number of valid orders."""
+    """Dimensions and the order_sales fact.  All three are written before any
+    is published, and published together; the stage refuses to publish if the
+    joins change the number of valid orders."""
 
     _session(spark)
     orders_valid = spark.table(settings.valid_table("orders"))
     customers = star.dim_customers(spark.table(settings.valid_table("customers")))
     products = star.dim_products(spark.table(settings.valid_table("products")))
     sales = star.order_sales(orders_valid, customers, products)
-    tables = {name: settings.enriched_table(name) for name in ("customers", "products", "order_sales")}
-    # the fact is joined once, by its write; the count of a written table reads no column
+    outputs = {"customers": customers, "products": products, "order_sales": sales}
+    tables = {name: settings.enriched_table(name) for name in outputs}
+    # the count of a written table reads no column, and the fact is joined once, by its write
     valid_rows = orders_valid.count()
-    sales_rows = overwrite_table(
-        sales, tables["order_sales"], settings, check=lambda rows: star.check_cardinality(rows, valid_rows)
-    )
-    counts = {
-        "customers": overwrite_table(customers, tables["customers"], settings),
-        "products": overwrite_table(products, tables["products"], settings),
-        "order_sales": sales_rows,
-    }
-    return {"status": SUCCESS, "tables": tables, "row_counts": counts}
+    prepared: list[Prepared] = []
+    try:
+        for name, df in outputs.items():
+            prepared.append(prepare_table(df, tables[name], settings))
+        star.check_cardinality(prepared[-1].rows, valid_rows)
+    except BaseException:
+        discard(spark, prepared)
+        raise
+    publish(spark, prepared)
+    return {"status": SUCCESS, "tables": tables, "row_counts": {name: p.rows for name, p in zip(outputs, prepared, strict=True)}}
 
 
 def run_mart(spark: SparkSession, settings: Settings) -> dict:
