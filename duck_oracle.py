@@ -375,6 +375,18 @@ def build() -> dict[str, str]:
         "GROUP BY customer_id, customer_name, order_year "
         "ORDER BY order_year, total_profit DESC, customer_id LIMIT 20"
     )
+    # one check time per dataset and run, inside the run; the rows it was written to
+    sql["check_times"] = _with(*DATASETS) + "\nUNION ALL\n".join(
+        f"SELECT {_q(ds)} AS dataset_name, TRUE AS within_run, CAST(count(*) AS BIGINT) AS row_count FROM ann_{ds}" for ds in DATASETS
+    )
+    # what the pipeline reports of itself: every output of its stages
+    outputs = [("ingestion", ds, f"src_{ds}") for ds in DATASETS]
+    for ds in DATASETS:
+        outputs += [("data_quality", f"{ds}_valid", f"valid_{ds}"), ("data_quality", f"{ds}_rejected", f"(SELECT * FROM ann_{ds} WHERE dq_status = 'REJECTED')")]
+    outputs += [("enrichment", "customers", "valid_customers"), ("enrichment", "products", "valid_products"), ("enrichment", "order_sales", "order_sales"), ("aggregation", "profit_mart", "mart")]
+    sql["pipeline_summary"] = w + "\nUNION ALL\n".join(
+        f"SELECT {_q(stage)} AS pipeline_stage, 'SUCCESS' AS status, {_q(name)} AS output, CAST(count(*) AS BIGINT) AS row_count FROM {table}" for stage, name, table in outputs
+    )
     order_all = ", ".join(f"{c.strip()} NULLS FIRST" for c in ORDER_RAW_COLS.split(","))
     sql["preview_raw_orders"] = "WITH " + SRC_ORDERS + f" SELECT * FROM src_orders ORDER BY {order_all} LIMIT 20"
     order_c = ", ".join(f"{c.strip()} NULLS FIRST" for c in CUSTOMER_COLS.split(","))

@@ -193,6 +193,22 @@ def without_timestamps(df: DataFrame) -> DataFrame:
     return df.drop("dq_checked_timestamp", "ingestion_timestamp")
 
 
+def check_times(views: RetailViews) -> DataFrame:
+    """dataset_name, within_run, row_count: one row for each distinct check time
+    of a dataset.  A run stamps all rows of a dataset with one time between its
+    beginning and its end, however many tasks write them and whichever retry."""
+
+    out = None
+    for ds in ("customers", "products", "orders"):
+        begun = _dt.datetime.now(_dt.UTC)
+        # the stamped rows are written, so their time is that of the run that made them
+        stamps = staged_copy(views.checked(ds).groupBy("dq_checked_timestamp").agg(F.count(F.lit(1)).alias("row_count")), "check-times")
+        within = F.col("dq_checked_timestamp").between(F.lit(begun), F.lit(_dt.datetime.now(_dt.UTC)))
+        rows = stamps.select(F.lit(ds).alias("dataset_name"), within.alias("within_run"), "row_count")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _over_datasets(views: RetailViews, per_dataset) -> DataFrame:
     parts = [
         per_dataset(views.checked(ds)).select(F.lit(ds).alias("dataset_name"), "*")
