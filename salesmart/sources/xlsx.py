@@ -15,10 +15,10 @@ Options follow the connector the original pipeline used:
 ``header``        first row of the table holds column names (skipped; the
                   fixed schema binds columns by position).
 ``empty_as_null`` empty cell text becomes NULL.
-Numbers are rendered in plain notation (``1234`` not ``1234.0`` or
-``1.234E3``) when read into string fields: 15 significant digits, and leading
-zeros where the cell's format is all zeros (``00000``).  Every row that has
-cells is kept, also where they are blank; the rules decide about it.
+Numbers read into string fields are rendered as the sheet shows them (see
+``number_formats``): by the cell's number format, and in plain notation (``1234``
+not ``1234.0`` or ``1.234E3``, 15 significant digits) where it has none.  Every
+row that has cells is kept, also where they are blank; the rules decide about it.
 """
 
 from __future__ import annotations
@@ -28,17 +28,20 @@ import io
 import posixpath
 import re
 import zipfile
-from decimal import Context, Decimal, InvalidOperation
+from collections.abc import Callable
+from decimal import Decimal, InvalidOperation
+from functools import lru_cache
 from xml.etree.ElementTree import iterparse
 from xml.parsers import expat
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from salesmart.sources import number_formats
+
 DEFAULT_ADDRESS = "'Worksheet'!A1"
 BATCH_ROWS = 8192
 _CELL_REF = re.compile(r"^([A-Z]+)([0-9]+)$")
-_FIFTEEN_DIGITS = Context(prec=15)
 _EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 
 
@@ -159,38 +162,36 @@ def _sheet_member(zf: zipfile.ZipFile, sheet: str | None) -> str:
 
 
 def plain_number(text: str, zeros: int = 0) -> str:
-    """Displayed text of a stored number in plain notation: 15 significant
-    digits, as a sheet shows (17 are stored), no exponent, and at least
-    ``zeros`` digits for a whole number (a format such as ``00000``)."""
-
-    try:
-        d = _FIFTEEN_DIGITS.create_decimal(text)
-    except InvalidOperation:
-        return text
-    if not d.is_finite():
-        return text
-    if d == d.to_integral_value():
-        whole = int(d)
-        return ("-" if whole < 0 else "") + str(abs(whole)).zfill(zeros)
-    return format(d.normalize(), "f")
-
-
-def _zero_padding(zf: zipfile.ZipFile) -> dict[int, int]:
-    """Cell style -> digits, for styles whose number format is all zeros."""
-
-    if "xl/styles.xml" not in zf.namelist():
-        return {}
-    formats, styles, inside = {1: "0"}, {}, False
-    with zf.open("xl/styles.xml") as fh:
-        for event, e in iterparse(fh, events=("start", "end")):
-            tag = _local(e.tag)
-            if tag == "cellXfs":
-                inside = event == "start"
-            elif event == "start" and tag == "numFmt":
-                formats[int(_attr(e, "numFmtId"))] = _attr(e, "formatCode")
-            elif event == "start" and tag == "xf" and inside:
-                styles[len(styles)] = int(_attr(e, "numFmtId") or 0)
-    return {k: len(formats[f]) for k, f in styles.items() if re.fullmatch("0{2,}", formats.get(f) or "")}
+    """A stored number in plain notation, a whole one with at least ``zeros``
+    digits (a format such as ``00000``)."""
+
+    plain = number_formats.plain_number(text)
+    if zeros and re.fullmatch("-?[0-9]+", plain):
+        return "-" * plain.startswith("-") + plain.lstrip("-").zfill(zeros)
+    return plain
+
+
+def _cell_formats(zf: zipfile.ZipFile) -> Callable[[int], Callable[[str], str]]:
+    """Cell style -> the function that shows a number in its format (compiled
+    when a cell first has the style)."""
+
+    codes, styles, inside = dict(number_formats.BUILT_IN), [], False
+    if "xl/styles.xml" in zf.namelist():
+        with zf.open("xl/styles.xml") as fh:
+            for event, e in iterparse(fh, events=("start", "end")):
+                tag = _local(e.tag)
+                if tag == "cellXfs":
+                    inside = event == "start"
+                elif event == "start" and tag == "numFmt":
+                    codes[int(_attr(e, "numFmtId"))] = _attr(e, "formatCode")
+                elif event == "start" and tag == "xf" and inside:
+                    styles.append(int(_attr(e, "numFmtId") or 0))
+
+    @lru_cache(maxsize=None)  # a workbook has at most 65,490 styles
+    def of(style: int) -> Callable[[str], str]:
+        return number_formats.formatter(codes.get(styles[style]) if style < len(styles) else None)
+
+    return of
 
 
 def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
@@ -202,7 +203,7 @@ def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
     """
 
     strings = _shared_strings(zf)
-    padding = _zero_padding(zf)
+    shown = _cell_formats(zf)
     member = _sheet_member(zf, sheet)
     local = _local_names()
     done: list[tuple[int, dict]] = []
@@ -248,7 +249,7 @@ def iter_sheet_rows(zf: zipfile.ZipFile, sheet: str | None):
             elif kind in ("str", "d"):
                 text = value
             else:
-                text = None if value is None else (value, plain_number(value, padding.get(st["style"], 0)))
+                text = None if value is None else (value, shown(st["style"])(value))
             st["cells"][st["col"]] = text
         elif tag == "row":
             if st["cells"]:  # a row that has cells is a row of the table, blank or not
