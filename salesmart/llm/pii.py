@@ -9,13 +9,17 @@ base span is unlabelled: it may be personal data that the base patterns miss.
 Others, such as longer versions of base spans, are not learnt from.  Both are
 counted over the whole corpus by the integers: at most the product of the
 features' ranges (``CELLS``) rows, whatever the corpus, are all that the
-fitting sees and all that reaches the driver.  For each generator boosted
-depth-two trees with logistic loss are fitted to these counts, positives
-against unlabelled ones at equal total weight; its threshold is the greatest
-score that the wanted share of its positives reaches, however many unlabelled
-ones do.  Proposals at or above it that overlap no base span are added.  A few
-fixed examples (``SEEDS``) are positives too, so that a generator without any
-base span in the corpus still has a model.
+fitting sees and all that reaches the driver.  Proposals that are known to be
+other numbers (ISBN check digits, dates, decimals, rows of small numbers,
+reference numbers with a year) are negatives.  For each generator boosted
+depth-two trees with logistic loss are fitted to these counts: positives against
+unlabelled ones and against negatives, each at equal total weight.  Its threshold
+is the greatest score that the wanted share of its positives reaches, raised
+until the estimated precision of what is added reaches the wanted one too: the
+share of known negatives above the threshold is taken for that of all unlabelled
+proposals.  Proposals at or above it that overlap no base span are added.  A
+few fixed examples (``SEEDS``) count with the corpus's own, so that a generator
+without any base span in the corpus still has a model.
 
 Defined cases: a null text is empty; equal rows give equal rows; other columns
 are kept by ``redact`` and ignored by ``scan``; an empty table gives no rows.
@@ -103,16 +107,40 @@ def _of(kind: str, p: Column, test: Column) -> Column:
 def _national(found: Column) -> Column:
     """Without a country code that stands apart."""
 
-    return F.regexp_replace(found, r"^\+[0-9]{1,3}[\x20().-]+", "")
+    return F.regexp_replace(found, r"^\+[0-9]{1,3}(?:[\x20.-]+|(?=\())", "")
 
 
 _DATE = r"^(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.]|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2})"
+# Groups of a North American number (the area in brackets, or both groups from 200 on), and of
+# a number in groups of two to four digits.
+_NORTH_AMERICAN = r"^(?:\([0-9]{3}\)[\x20.-]*[0-9]{3}|[2-9][0-9]{2}[\x20.-]*[2-9][0-9]{2})[\x20.-]?[0-9]{4}$"
+_GROUPED = r"^\(?[0-9]{1,4}\)?(?:[\x20.-][0-9]{2,4}){1,4}$"
+_DECIMALS = r"^[+(]*[0-9]+\.[0-9]+(?:[\x20]+[0-9]+\.[0-9]+)+$"
+_SMALL_NUMBERS = r"^[0-9]{1,2}(?:[\x20./-]+[0-9]{1,2}){5,}$"
+_YEAR_REFERENCE = r"^(?:19|20)[0-9]{2}/"
+_OTHER_WORD = r"(?i)(?:isbn|issn|doi|order|invoice|ref|case|file|ticket|pages?|lat|lon|gps|coord|date|version|vol|id|sku|item|model|serial)[\p{L}.:#\x20]{0,12}$"
+
+
+def _is_isbn(number: Column) -> Column:
+    """A 13-digit book number by its prefix and check digit."""
+
+    weighed = F.transform(F.split(number, ""), lambda d, i: F.coalesce(d.try_cast("int"), F.lit(0)) * F.when(i % 2 == 0, 1).otherwise(3))
+    return F.regexp_like(number, F.lit("^97[89][0-9]{10}$")) & (F.aggregate(weighed, F.lit(0), lambda s, x: s + x) % 10 == 0)
+
+
+def _other_number(p: Column) -> Column:
+    """A run of digits that is known to be something else."""
+
+    told = reduce(lambda a, b: a | b, [F.regexp_like(p["found"], F.lit(x)) for x in (_DATE, _DECIMALS, _SMALL_NUMBERS, _YEAR_REFERENCE)])
+    return (p["generator"] >= KINDS.index("card")) & F.when(F.length(p["found"]) < 60, told | _is_isbn(digits(p["found"]))).otherwise(False)
+
+
 _DOMAIN = r"@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}[^\p{L}\p{N}]*$"
 _HINT = "(?i)mail|phone|tel|call|mobile|fax|card|visa|iban|addr|contact|host|login"
 FEATURES = (
     ("generator", 4, lambda p: p["generator"]),
     ("digits", 5, lambda p: _bucket(F.length(digits(_national(p["found"]))), 7, 10, 14, 20)),
-    ("grouped", 2, lambda p: _of("phone", p, F.regexp_like(_national(p["found"]), F.lit("[0-9][^0-9]+[0-9]")))),
+    ("shape", 3, lambda p: _of("phone", p, let(_national(p["found"]), lambda n: F.when(F.regexp_like(n, F.lit(_NORTH_AMERICAN)), 2).otherwise(F.regexp_like(n, F.lit(_GROUPED)).cast("int"))))),
     ("dated", 2, lambda p: _of("phone", p, F.regexp_like(p["found"], F.lit(_DATE)))),
     ("luhn", 2, lambda p: _of("card", p, F.when(F.length(p["found"]) < 60, passes_luhn(digits(p["found"]))).otherwise(False))),
     ("octets", 2, lambda p: _of("ip", p, F.regexp_like(p["found"], F.lit(OCTETS)))),
@@ -120,13 +148,17 @@ FEATURES = (
     ("left", 3, lambda p: _edge(F.right(p["before"], F.lit(1)))),
     ("right", 3, lambda p: _edge(F.left(p["after"], F.lit(1)))),
     ("hint", 2, lambda p: F.regexp_like(p["before"], F.lit(_HINT)).cast("int")),
+    ("slashed", 2, lambda p: _of("phone", p, F.regexp_like(p["found"], F.lit(r"/|[\x20().-]{3}|\.[0-9]*\x20|\x20[0-9]*\.")))),
+    ("other_word", 2, lambda p: F.regexp_like(p["before"], F.lit(_OTHER_WORD)).cast("int")),
+    ("other", 2, lambda p: _other_number(p).cast("int")),
 )
 #: A greater value never speaks against a proposal: base spans may all stand without a hint.
 RISING = {"hint"}
-# Positives beside the corpus's own.
+# Positives, and numbers that are none, beside the corpus's own.
 SEEDS = (
     "write to jane.doe@example.com today", "from 192.0.2.17 on", "paid with 4111 1111 1111 1111 there", "number 5500000000000004 again",
     "call +1 (212) 555-0147 now", "or +1 646-555-0199 then",
+    "see 978-0-306-40615-7 there", "at 52.5200 13.4050 north", "on 2019-07-04 23 hours", "drawn 07 11 19 23 35 42 today", "as 2019/007-41234 says",
 )
 CELLS = 2 * math.prod(n for _, n, _ in FEATURES)
 
@@ -220,32 +252,42 @@ class BoostedTrees:
 Fitted = list[tuple[BoostedTrees, float]]
 
 
-def calibrate(cells: list[tuple[tuple[int, ...], float, float]], recall: float) -> tuple[BoostedTrees, float]:
+def calibrate(cells: list[tuple[tuple[int, ...], float, float, float]], recall: float, precision: float = 0.9) -> tuple[BoostedTrees, float]:
     """Model and threshold of a generator's cells: a feature vector with its
-    numbers of unlabelled proposals and positives."""
+    numbers of unlabelled proposals, known negatives and positives."""
 
-    unlabelled, positive = sum(c[1] for c in cells), sum(c[2] for c in cells)
-    model = BoostedTrees().fit([(x, n * positive / unlabelled if n else 0.0, p) for x, n, p in cells])
-    scored = sorted(((model.score(x), p) for x, _, p in cells if p), reverse=True)
+    unlabelled, negative, positive = (sum(c[k] for c in cells) for k in (1, 2, 3))
+    weight = lambda n, total: n * positive / total if n else 0.0
+    model = BoostedTrees().fit([(x, weight(u, unlabelled) + weight(n, negative), p) for x, u, n, p in cells])
+    scored = sorted(((model.score(x), u, n, p) for x, u, n, p in cells), reverse=True)
     limit, reached = 2.0, 0.0
-    for score, p in scored:
+    for score, _, _, p in scored:
         if reached >= recall * positive:
             break
-        limit, reached = score, reached + p
-    return model, limit
+        if p:
+            limit, reached = score, reached + p
+    for score in sorted({s[0] for s in scored if s[0] >= limit}):
+        added = sum(u for s, u, _, _ in scored if s >= score)
+        wrong = sum(n for s, _, n, _ in scored if s >= score) / max(negative, 1.0) * unlabelled
+        if wrong <= (1 - precision) * added:
+            return model, score
+    return model, 2.0
 
 
-def fit(found: DataFrame, recall: float = 0.95) -> Fitted:
+def fit(found: DataFrame, recall: float = 0.95, precision: float = 0.9) -> Fitted:
     """Model and threshold of each generator."""
 
     names = [f"p.x.{name}" for name, _, _ in FEATURES]
     seeds = _found(found.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, SEEDS))).alias("_text")))
     each = found.select("_proposed").unionByName(seeds.select("_proposed")).select(F.explode("_proposed").alias("p"))
     counted = each.filter("p.is_base or p.clear").groupBy(*[F.col(n).alias(n.rsplit(".", 1)[1]) for n in names]).agg(
-        F.count_if(~F.col("p.is_base")).alias("unlabelled"), F.count_if(F.col("p.is_base")).alias("positive")
+        F.count_if(~F.col("p.is_base")).alias("clear"), F.count_if(F.col("p.is_base")).alias("positive")
     )
-    cells = sorted((tuple(r[: len(names)]), float(r["unlabelled"]), float(r["positive"])) for r in counted.collect())
-    return [calibrate([c for c in cells if c[0][0] == k], recall) for k in range(len(GENERATORS))]
+    cells = []
+    for r in counted.collect():
+        clear, known = float(r["clear"]), bool(r["other"])
+        cells.append((tuple(r[: len(names)]), 0.0 if known else clear, clear if known else 0.0, float(r["positive"])))
+    return [calibrate(sorted(c for c in cells if c[0][0] == k), recall, precision) for k in range(len(GENERATORS))]
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -280,14 +322,14 @@ def _text(text: str) -> Column:
     return F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
 
-def scan(docs: DataFrame, text: str = "text", recall: float = 0.95) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", recall: float = 0.95, precision: float = 0.9) -> DataFrame:
     """doc_id, base and spans (arrays of start, rank, end, kind), one row per document."""
 
     found = stage(_found(docs.select("doc_id", _text(text).alias("_text"))).drop("_text"), "pii-candidates")
-    return found.select("doc_id", F.col("_base").alias("base"), _spans(fit(found, recall)).alias("spans"))
+    return found.select("doc_id", F.col("_base").alias("base"), _spans(fit(found, recall, precision)).alias("spans"))
 
 
-def redact(docs: DataFrame, recall: float = 0.95) -> DataFrame:
+def redact(docs: DataFrame, recall: float = 0.95, precision: float = 0.9) -> DataFrame:
     """``docs`` with all spans of ``text`` replaced by their kind, and
     ``n_chars``, where there is such a column, by the new length.
 
@@ -295,7 +337,7 @@ def redact(docs: DataFrame, recall: float = 0.95) -> DataFrame:
     replaces the spans row by row, so no text is shuffled."""
 
     # staged, so that the proposals are made once a text and not once a counted feature
-    fitted = fit(stage(_found(docs.select(_text("text").alias("_text"))).select("_proposed"), "pii-proposals"), recall)
+    fitted = fit(stage(_found(docs.select(_text("text").alias("_text"))).select("_proposed"), "pii-proposals"), recall, precision)
     out = _found(docs.withColumn("_text", _text("text"))).withColumn("_spans", _spans(fitted))
     found = F.size("_spans") > 0
     out = out.withColumn("text", F.when(found, redacted(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))

@@ -158,6 +158,35 @@ def test_personal_data_that_the_base_patterns_miss(spark):
             assert got[i] == "", texts[i]
 
 
+def test_other_numbers_are_left_with_the_corpus_around_them(spark):
+    """ISBNs, coordinates, dates, references and rows of numbers among the texts
+    of a whole table: none is taken, and phones and cards without their base form are."""
+
+    right = ["ring (212) 555-0147 soon", "ring 646-555-0199, or not", "the desk: (503) 555-0112.", "pay 3782.822463.10005 now"]
+    wrong = [
+        "ISBN 978-3-16-148410-0 in print", "978-1-4028-9462-6", "see 2023/114-55321 there", "code 100-200-3000 here", "numbers 12 14 15 18 22 31 won", "part 55-1234-9876 fits",
+        "at 48.8566 2.3522 exactly", "on 2024-01-15 10:30:45 sharp", "2024-01-15 10:30", "from 1.1.2024 12:00", "pages 1204-1209 1300", "3 14159 26535 8979",
+    ]
+    corpus = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    docs = corpus.unionByName(spark.createDataFrame([(-1 - i, t) for i, t in enumerate(right + wrong)], "doc_id long, text string"))
+    got = {r.doc_id: r.spans for r in secrets.digest(pii.scan(docs).filter("doc_id < 0"), pii.KINDS).collect()}
+    spans = [got[-1 - i] for i in range(len(right + wrong))]
+    assert spans[: len(right)] == ["phone:5:19", "phone:5:17", "phone:10:24", "card:4:21"]
+    assert spans[len(right) :] == [""] * len(wrong), [w for w, s in zip(wrong, spans[len(right) :], strict=True) if s]
+
+
+def test_the_threshold_holds_recall_and_precision():
+    """A cell that known negatives share with unlabelled proposals is not taken,
+    though positives reach it."""
+
+    cell = lambda shape, u, n, p: ((3, 2, shape, *[0] * (len(pii.FEATURES) - 3)), float(u), float(n), float(p))
+    model, limit = pii.calibrate([cell(2, 50, 0, 900), cell(1, 100, 80, 100), cell(0, 1000, 20, 0)], 0.95)
+    taken = [model.score(cell(k, 0, 0, 0)[0]) >= limit for k in (2, 1, 0)]
+    assert taken == [True, False, False]
+    model, limit = pii.calibrate([cell(2, 50, 0, 900), cell(1, 100, 0, 100), cell(0, 1000, 20, 0)], 0.95)
+    assert [model.score(cell(k, 0, 0, 0)[0]) >= limit for k in (2, 1, 0)] == [True, True, False]
+
+
 def test_trees_learn_and_calibrate():
     width = len(pii.FEATURES)
     cells = []
