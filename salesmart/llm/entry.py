@@ -72,9 +72,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.clean(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
-    )
+    return line_rules.clean(_table(spark, sf_dir, "documents"), min_kept=0.5).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_removed_words", F.sha2("cleaned", 256).alias("cleaned_sha256"),
+    )
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +185,42 @@ FROM placed
 """
 
 
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS ls,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS k
+  FROM documents
+),
+windows AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS x FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) > 2)),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT i + j) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS j) GROUP BY r),
+lines AS (
+  SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS has, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         regexp_replace(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')), '[0-9]+', '0', 'g') AS norm
+  FROM (SELECT r, host, k, unnest(ls) AS line, generate_subscripts(ls, 1) AS place FROM d)
+),
+hosts AS (SELECT host, count(DISTINCT k) AS texts FROM lines WHERE has GROUP BY host),
+counted AS (SELECT host, norm, count(DISTINCT k) AS texts, max(n) AS n, min(k) AS holder FROM lines WHERE has GROUP BY host, norm),
+above AS (
+  SELECT c.host, c.norm, c.holder FROM counted c JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host
+  WHERE c.texts > CASE WHEN c.n >= 20 THEN 3 ELSE greatest(5, 0.002 * h.texts) END
+),
+judged AS (
+  SELECT l.*, has AND o.norm IS NOT NULL AS gone FROM lines l LEFT JOIN above o ON l.host IS NOT DISTINCT FROM o.host AND l.norm = o.norm AND l.k <> o.holder
+),
+rest AS (
+  SELECT r, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS cleaned, coalesce(sum(n) FILTER (WHERE gone), 0) AS removed,
+         count(*) FILTER (WHERE has) - count(DISTINCT line) FILTER (WHERE has) AS dup
+  FROM judged GROUP BY r
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (length(t) - length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')))::BIGINT AS word_chars,
+       len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, dup::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+       len(ws) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(ws) AS base_failed,
+       NOT (len(ws) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(ws)) AND len(ws) - removed >= 0.5 * len(ws) AS kept,
+       removed::BIGINT AS n_removed_words, sha256(cleaned) AS cleaned_sha256
+FROM d JOIN rest USING (r) LEFT JOIN covered c USING (r)
+"""
+
 OP11_SQL = r"""
 WITH units AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
@@ -225,4 +262,4 @@ FROM numbered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL, "op11_fim": OP11_SQL, "op12_warc": OP12_SQL}
+    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL, "op9_line_rules": OP9_SQL, "op11_fim": OP11_SQL, "op12_warc": OP12_SQL}

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.llm import entry, line_rules, pii, secrets, spans
+from tests.llm.oracle import compare
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -252,6 +253,13 @@ def test_op9_against_brute_force(spark, odd, limit):
         assert got == brute_clean([(r.doc_id, r.text, r.source) for r in df.collect()], limit, 0.2)
 
 
+def test_op9_equals_its_sql(spark):
+    """By the limits of the query, which depend on each host's texts; on sf0.01 they remove lines."""
+
+    compare(spark, "op9_line_rules", "/root/testdata/sf0.01")
+    assert entry.op9_line_rules(spark, "/root/testdata/sf0.01").filter("n_removed_words > 0").count() > 20
+
+
 def test_lines_repeated_in_a_handful_of_texts(spark):
     """A planted passage goes from all but one of its six texts, a short line
     by its share of the host; copies count once and one of a family of near copies stays whole."""
@@ -275,7 +283,7 @@ def test_lines_repeated_in_a_handful_of_texts(spark):
 
 
 def test_op9_registered_columns_and_empty_table(spark, odd):
-    assert entry.op9_line_rules(spark, SF).columns == ["doc_id", *COLUMNS[:7]]
+    assert entry.op9_line_rules(spark, SF).columns == ["doc_id", *COLUMNS[:8], "cleaned_sha256"]
     assert line_rules.clean(odd.limit(0)).count() == 0
 
 
