@@ -152,6 +152,23 @@ SELECT page_id, fetched, found.r IS NOT NULL AS blocked, coalesce(n, 0)::BIGINT
 FROM numbered LEFT JOIN found USING (r)
 """
 
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 3], ' ') AS x FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+met AS (SELECT a.r AS a, b.r AS b, count(*) AS same FROM s a JOIN s b ON a.x = b.x AND a.r < b.r GROUP BY a.r, b.r),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * same >= 85 * (x.n + y.n - same)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT r, r FROM sizes UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+least AS (SELECT reach.a AS r, min(w.doc_id) AS component FROM reach JOIN w ON w.r = reach.b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component END AS component_id
+FROM w LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE units AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -262,4 +279,4 @@ FROM numbered
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL, "op7_mixing": OP7_SQL, "op9_line_rules": OP9_SQL, "op11_fim": OP11_SQL, "op12_warc": OP12_SQL}
+    return {"op1_url_filters": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op9_line_rules": OP9_SQL, "op11_fim": OP11_SQL, "op12_warc": OP12_SQL}

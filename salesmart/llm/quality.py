@@ -212,8 +212,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> np.nd
         return None
     session = docs.sparkSession
     wanted = session.createDataFrame(list(ids.items()), "doc_id long, label int")
-    # max_rows rows of two numbers: a broadcast of bounded size
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])
+    # max_rows rows of two numbers: a broadcast of bounded size; of several texts with one id the least is learnt
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from salesmart.llm import entry, ngram_join
+from tests.llm.oracle import compare
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,6 +56,10 @@ def test_op6_against_brute_force(spark):
     assert got(entry.op6_ngram_join(spark, SF)) == brute(rows)
 
 
+def test_op6_equals_its_sql(spark):
+    compare(spark, "op6_ngram_join", SF)
+
+
 def family_rows(seed, families, members):
     rng = random.Random(seed)
     vocab = [f"w{i}" for i in range(400)]

@@ -31,6 +31,15 @@ def test_held_out_labels_are_never_learnt(spark):
         assert (r.score > 0.5) == (r.doc_id % 2 == 1)
 
 
+def test_several_texts_of_one_id_give_one_model(spark):
+    """Whatever the order and partitions of the rows."""
+
+    rows = [(i % 40, f"{'fine prose' if i % 2 else '$$ buy ##'} number {i} " * 8) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, other = (quality.train(spark.createDataFrame(r, "doc_id long, text string").repartition(k), labels) for r, k in ((rows, 1), (rows[::-1], 7)))
+    assert (one == other).all()
+
+
 def test_bound_and_odd_rows(spark):
     rows = [(i, "good plain words here " * 5 if i % 2 else "## $$ %% " * 9, 0.0) for i in range(60)] + [(None, None, 1.0), (61, "", 1.0), (62, "x " * 50_000, 1.0), (1, "good plain words here " * 5, 0.0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score double")
