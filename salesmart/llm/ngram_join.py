@@ -389,7 +389,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     without words is in no component and stays.
 
     Classes and hashes decide; whole rows move once, in the join that keeps the
-    chosen ones.  Of chosen rows that are equal in every column one stays:
+    chosen ones (a sort-merge join at any size: their number grows with the table).  Of chosen rows that are equal in every column one stays:
     only these few are grouped, after a partial aggregation."""
 
     each, _, roots = linked_classes(docs)
@@ -401,7 +401,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     hashed = docs.withColumn("_row_hash", row_hash(docs))
     wordless = F.coalesce(~F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(True))
     on = F.col("_row_hash") == F.col("_chosen")
-    single = hashed.join(chosen.filter("_copies = 1"), on, "left").filter(F.col("_chosen").isNotNull() | wordless)
+    single = hashed.join(chosen.filter("_copies = 1").hint("merge"), on, "left").filter(F.col("_chosen").isNotNull() | wordless)
     repeated = hashed.join(chosen.filter("_copies > 1"), on, "left_semi").dropDuplicates(["_row_hash"])
     names = [f"`{c}`" for c in docs.columns]
     return single.select(*names).unionByName(repeated.select(*names))
