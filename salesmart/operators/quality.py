@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.rules import Rule, condition, duplicate_flag_column, failure_reasons, validate
-from salesmart.session import staged_copy
+from salesmart.session import staged_copy, staged_together
 
 # Parts that rows with a null key are dealt to in the joins back; other rows are in part 0.
 NULL_PARTS = 1024
@@ -122,13 +122,34 @@ def join_back(df: DataFrame, exceptions: DataFrame, key: str) -> DataFrame:
     return df.withColumn(_PART, part).join(exceptions.withColumn(_PART, F.lit(0)), on=[key, _PART], how="left").drop(_PART)
 
 
-def add_duplicate_flags(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+ExceptionSets = dict[tuple[str, str], DataFrame]
+
+
+def exception_sets(df: DataFrame, rules: Iterable[Rule], references: Sequence[tuple[str, DataFrame, str]] = ()) -> ExceptionSets:
+    """All staged sets that a dataset's UNIQUE rules and references join back:
+    each is an aggregate over key-only data, and their jobs run side by side."""
+
+    unique = dict.fromkeys(r.column_name for r in rules if r.rule_type == "UNIQUE")
+    wanted = {("duplicate", key): duplicate_keys(df, key) for key in unique}
+    wanted |= {("dangling", flag): dangling_keys(df, key, parent, _marker(flag)) for key, parent, flag in references}
+    staged = staged_together([(found, f"{kind}-keys") for (kind, _), found in wanted.items()])
+    return dict(zip(wanted, staged, strict=True))
+
+
+def _marker(flag: str) -> str:
+    return f"_dq_dangling__{flag}"
+
+
+def add_duplicate_flags(df: DataFrame, keys: Iterable[str], sets: ExceptionSets | None = None) -> DataFrame:
     """Append ``_dq_dup__<key>`` (TRUE if the key is duplicated) per key."""
 
     out, columns = df, list(df.columns)
-    for key in dict.fromkeys(keys):
+    keys = list(dict.fromkeys(keys))
+    if sets is None:
+        sets = dict(zip([("duplicate", k) for k in keys], staged_together([(duplicate_keys(df, k), "duplicate-keys") for k in keys]), strict=True))
+    for key in keys:
         flag = duplicate_flag_column(key)
-        out = join_back(out, staged_copy(duplicate_keys(df, key, flag), "duplicate-keys"), key)
+        out = join_back(out, sets["duplicate", key], key)
         columns.append(flag)
     return out.select(*[_quoted(c) for c in columns])
 
@@ -153,6 +174,7 @@ def flag_references(
     df: DataFrame,
     references: Sequence[tuple[str, DataFrame, str]],
     strategy: str = "exceptions",
+    sets: ExceptionSets | None = None,
 ) -> DataFrame:
     """For each ``(key, parent, flag)``: ``flag`` is TRUE where the key exists
     among the parent's keys and NULL otherwise (also for a NULL key).
@@ -174,14 +196,16 @@ def flag_references(
     if strategy not in REFERENCE_STRATEGIES:
         raise ValueError(f"Unknown reference strategy: {strategy}")
     out = df
+    if sets is None and strategy == "exceptions":
+        sets = exception_sets(df, [], references)
     for key, parent, flag in references:
         if strategy == "join":
             keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
             out = join_back(out, staged_copy(keys.withColumn(flag, F.lit(True)), "parent-keys"), key)
             continue
-        marker = f"_dq_dangling__{flag}"
+        marker = _marker(flag)
         out = (
-            join_back(out, staged_copy(dangling_keys(df, key, parent, marker), "dangling-keys"), key)
+            join_back(out, sets["dangling", flag], key)
             .withColumn(flag, F.when(_quoted(key).isNotNull() & _quoted(marker).isNull(), F.lit(True)))
             .drop(marker)
         )
@@ -192,14 +216,16 @@ def annotate(
     df: DataFrame,
     rules: Iterable[Rule | Mapping],
     as_of: _dt.date | None = None,
+    sets: ExceptionSets | None = None,
 ) -> DataFrame:
     """Append ``dq_failure_reasons`` (array<string>, ordered set), ``dq_status``
-    (PASSED iff no reason) and ``dq_checked_timestamp``."""
+    (PASSED iff no reason) and ``dq_checked_timestamp``.  ``sets``: exception
+    sets at hand, of the same rows."""
 
     rules = [validate(Rule.of(r)) for r in rules]
     columns = list(df.columns)
     unique_keys = [r.column_name for r in rules if r.rule_type == "UNIQUE"]
-    work = add_duplicate_flags(df, unique_keys) if unique_keys else df
+    work = add_duplicate_flags(df, unique_keys, sets) if unique_keys else df
     with_reasons = work.select(
         *[_quoted(c) for c in columns],
         failure_reasons(rules, as_of).alias("dq_failure_reasons"),

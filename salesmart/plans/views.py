@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,26 +25,17 @@ from pyspark.sql import functions as F
 from salesmart.functions.cleaning import CLEANERS
 from salesmart.functions.rules import Rule
 from salesmart.operators import marts, quality, star
-from salesmart.operators.quality import RuleSets, annotate, flag_references, load_rule_sets, rule_failure_counts, split
+from salesmart.operators.quality import RuleSets, annotate, exception_sets, flag_references, load_rule_sets, rule_failure_counts, split
 from salesmart.session import staged_copy
 from salesmart.sources.rule_catalog import CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG, shipped_rules_df
 
 REFERENCE_FLAGS = (CUSTOMER_REFERENCE_FLAG, PRODUCT_REFERENCE_FLAG)
 
 
-def order_reference_flags(
-    orders: DataFrame, customers_valid: DataFrame, products_valid: DataFrame, strategy: str = "exceptions"
-) -> DataFrame:
-    """Orders with the two foreign-key flags the REFERENCE rules read."""
+def order_references(customers_valid: DataFrame, products_valid: DataFrame) -> list[tuple[str, DataFrame, str]]:
+    """The foreign keys that the REFERENCE rules of orders read: key, parent, flag."""
 
-    return flag_references(
-        orders,
-        [
-            ("customer_id", customers_valid, CUSTOMER_REFERENCE_FLAG),
-            ("product_id", products_valid, PRODUCT_REFERENCE_FLAG),
-        ],
-        strategy,
-    )
+    return [("customer_id", customers_valid, CUSTOMER_REFERENCE_FLAG), ("product_id", products_valid, PRODUCT_REFERENCE_FLAG)]
 
 
 def check_orders(
@@ -54,10 +46,14 @@ def check_orders(
     as_of: _dt.date | None = None,
     strategy: str = "exceptions",
 ) -> DataFrame:
-    """Annotated orders (reference flags computed, used, then dropped)."""
+    """Annotated orders (reference flags computed, used, then dropped).  The
+    duplicated and dangling keys come from the orders themselves, side by side,
+    not from the flagged rows."""
 
-    flagged = order_reference_flags(orders_clean, customers_valid, products_valid, strategy)
-    return annotate(flagged, rules, as_of).drop(*REFERENCE_FLAGS)
+    references = order_references(customers_valid, products_valid)
+    sets = exception_sets(orders_clean, rules, references if strategy == "exceptions" else ())
+    flagged = flag_references(orders_clean, references, strategy, sets)
+    return annotate(flagged, rules, as_of, sets).drop(*REFERENCE_FLAGS)
 
 
 class RetailViews:
@@ -103,15 +99,21 @@ class RetailViews:
             self._clean[dataset] = CLEANERS[dataset](self.source(dataset))
         return self._clean[dataset]
 
+    def orders_inputs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Cleaned orders and the passed customers and products, staged side by side."""
+
+        with ThreadPoolExecutor(3) as pool:
+            parts = [pool.submit(self.staged_clean, "orders"), pool.submit(self.staged_valid, "customers"), pool.submit(self.staged_valid, "products")]
+            return tuple(p.result() for p in parts)
+
     def checkable(self, dataset: str) -> DataFrame:
         """What the rules read: the cleaned dataset; for orders with the
         reference flags against the passed customers and products."""
 
         if dataset == "orders":
             if "orders" not in self._flagged:
-                self._flagged["orders"] = order_reference_flags(
-                    self.staged_clean("orders"), self.staged_valid("customers"), self.staged_valid("products"), self.reference_strategy
-                )
+                orders, customers, products = self.orders_inputs()
+                self._flagged["orders"] = flag_references(orders, order_references(customers, products), self.reference_strategy)
             return self._flagged["orders"]
         return self.clean(dataset)
 
@@ -134,8 +136,11 @@ class RetailViews:
         """Annotated dataset (all columns + dq_*)."""
 
         if dataset not in self._checked:
-            df = annotate(self.checkable(dataset), self.rules(dataset), self.as_of)
-            self._checked[dataset] = df.drop(*REFERENCE_FLAGS) if dataset == "orders" else df
+            rules = self.rules(dataset)
+            if dataset == "orders":
+                self._checked[dataset] = check_orders(*self.orders_inputs(), rules, self.as_of, self.reference_strategy)
+            else:
+                self._checked[dataset] = annotate(self.clean(dataset), rules, self.as_of)
         return self._checked[dataset]
 
     def rule_failures(self, rule_type: str | None = None) -> DataFrame:
