@@ -7,6 +7,9 @@ from pyspark.sql import types as T
 
 S = T.StringType()
 
+# FIXED VALUES from here on: source headers, types and column contracts that
+# the results must have, in their original order.
+
 # Source schemas.  Field names are the source headers; they are bound by
 # position for csv/xlsx and by exact name for json, then standardised to
 # snake_case by ``sources.files.standardize``.
