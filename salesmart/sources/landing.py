@@ -3,7 +3,7 @@ customers as xlsx workbooks, products as CSV, orders as JSON arrays.
 
 Used to run the whole pipeline (readers included) on data derived from the
 benchmark tables.  Every file is written by the task that owns the rows
-(one file per partition), nothing passes through the driver, and all go
+and has a bounded number of them, nothing passes through the driver, and all go
 through Spark's writers, to any Hadoop path and committed with the task.  A
 workbook is made in its task's memory and written as one line of Spark's text
 writer: the line's end is the zip file's one-byte comment.
@@ -22,6 +22,8 @@ from salesmart.session import scratch_path
 from salesmart.settings import Settings
 from salesmart.sources import bridge
 
+WORKBOOK_ROWS = 20_000
+
 
 def _source_shaped(df: DataFrame, dataset: str) -> DataFrame:
     """Raw-shaped frame -> source header names, in source column order."""
@@ -33,7 +35,8 @@ def _source_shaped(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def _workbooks(df: DataFrame, directory: str) -> None:
-    """One workbook per partition."""
+    """Workbooks of about ``WORKBOOK_ROWS`` rows, dealt evenly: a workbook is
+    written and read by one task, so their number grows with the rows."""
 
     columns = df.columns
 
@@ -53,8 +56,9 @@ def _workbooks(df: DataFrame, directory: str) -> None:
             zf.comment = b"\n"
         yield pd.DataFrame({"value": [fh.getvalue()[:-1]]})
 
+    dealt = df.repartition(max(1, -(-df.count() // WORKBOOK_ROWS)))
     # the cast keeps the bytes as they are, and so does the text writer
-    df.mapInPandas(write, "value binary").select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", "\n").text(directory)
+    dealt.mapInPandas(write, "value binary").select(F.col("value").cast("string")).write.mode("overwrite").option("lineSep", "\n").text(directory)
 
 
 def _json_arrays(df: DataFrame, directory: str) -> None:

@@ -218,3 +218,22 @@ def test_customers_land_at_a_path_only_hadoop_can_open(spark, tmp_dir):
     got, want = read_source(spark, "customers", settings), bridge.SOURCES["customers"](spark, sf)
     assert got.count() == want.count() > 0
     assert sorted(r.customer_id for r in got.collect()) == sorted(r.customer_id for r in want.collect())
+
+
+def test_customers_land_in_workbooks_of_bounded_rows(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from salesmart.schemas import CUSTOMER_SOURCE
+    from salesmart.sources import landing
+    from salesmart.sources.files import read_source, snake_case
+
+    monkeypatch.setattr(landing, "WORKBOOK_ROWS", 50)
+    names = [snake_case(f.name) for f in CUSTOMER_SOURCE.fields]
+    raw = spark.range(0, 420, 1, 1).select(*[F.when(F.col("id") % 7 != i, F.concat(F.lit(f"{n} "), (F.col("id") % 400).cast("string"))).alias(n) for i, n in enumerate(names)])
+    settings = landing.land(spark, {"customers": raw}, tmp_dir, ("customers",))
+    files = spark.read.format("binaryFile").load(settings.source_path("customers"))
+    assert files.count() == 9  # one partition, but no workbook holds all rows
+    per_file = [len(read_xlsx(spark, r.path, CUSTOMER_SOURCE).collect()) for r in files.select("path").collect()]
+    assert sum(per_file) == 420 and max(per_file) <= 60
+    got = read_source(spark, "customers", settings).select(*names)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, raw.collect()), key=str)
