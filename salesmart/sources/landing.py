@@ -23,6 +23,7 @@ from salesmart.settings import Settings
 from salesmart.sources import bridge
 
 WORKBOOK_ROWS = 20_000
+ARRAY_ROWS = 100_000
 
 
 def _source_shaped(df: DataFrame, dataset: str) -> DataFrame:
@@ -62,26 +63,41 @@ def _workbooks(df: DataFrame, directory: str) -> None:
 
 
 def _json_arrays(df: DataFrame, directory: str) -> None:
-    """One JSON array per partition, written by Spark's text writer (any Hadoop
-    path, committed with the task).  Spark makes each object's text; the task
-    only adds the brackets and commas."""
+    """JSON arrays of at most ``ARRAY_ROWS`` objects, a file each, written by
+    Spark's text writer (any Hadoop path, committed with the task).  A reader
+    holds an array whole, so its size is bounded, not its number.  Spark makes
+    each object's text; the task only adds the brackets and commas: the writer
+    begins a file every ``ARRAY_ROWS`` lines, as the brackets do."""
 
     objects = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    rows = ARRAY_ROWS
 
     def lines(batches):
-        import pandas as pd
-
-        last = None
-        for pdf in batches:
-            values = list(pdf["value"])
-            if not values:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def closed(values, at, final):
+            """Objects with the brackets and commas of their places, the first being object ``at``."""
+            place = np.arange(at, at + len(values)) % rows
+            ends = place == rows - 1
+            if final:
+                ends[-1] = True
+            before, after = pa.array(np.where(place == 0, "[", ""), values.type), pa.array(np.where(ends, "]", ","), values.type)
+            return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(before, values, after, pa.scalar("", values.type))], ["value"])
+
+        held, at = None, 0  # a batch is held until another shows that it is not the last
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            first = ["["] if last is None else [last + ","]
-            yield pd.DataFrame({"value": [*first, *(v + "," for v in values[:-1])]})
-            last = values[-1]
-        yield pd.DataFrame({"value": ["[", "]"] if last is None else [last, "]"]})
-
-    objects.mapInPandas(lines, "value string").write.mode("overwrite").text(directory)
+            if held is not None:
+                yield closed(held, at, False)
+                at += len(held)
+            held = batch.column(0)
+        yield pa.RecordBatch.from_pydict({"value": ["[]"]}) if held is None else closed(held, at, True)
+
+    arrays = objects.mapInArrow(lines, "value string")
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", rows).option("compression", "lz4").text(directory)
 
 
 def land(spark: SparkSession, raw: dict[str, DataFrame], landing: str | None = None,

@@ -237,3 +237,23 @@ def test_customers_land_in_workbooks_of_bounded_rows(spark, tmp_dir, monkeypatch
     assert sum(per_file) == 420 and max(per_file) <= 60
     got = read_source(spark, "customers", settings).select(*names)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, raw.collect()), key=str)
+
+
+def test_orders_land_in_arrays_of_bounded_rows(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from salesmart.sources import landing
+    from salesmart.sources.files import read_source, snake_case
+
+    monkeypatch.setattr(landing, "ARRAY_ROWS", 50)
+    raw = spark.range(0, 400, 1, 4).where("id < 100 or id > 217").select(*[
+        F.when(F.col("id") % 13 != i, F.col("id") if i else F.col("id") % 390).cast(f.dataType).alias(snake_case(f.name))
+        for i, f in enumerate(ORDER_SOURCE.fields)
+    ])
+    settings = landing.land(spark, {"orders": raw}, tmp_dir, ("orders",))
+    path = settings.source_path("orders")
+    # partitions of 100, 0, 82 and 100 rows
+    per_file = [read_json(spark, r.path, ORDER_SOURCE).count() for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    assert sorted(n for n in per_file if n) == [32, 50, 50, 50, 50, 50]
+    got = read_source(spark, "orders", settings).select(*raw.columns)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, raw.collect()), key=str)
