@@ -8,35 +8,50 @@ Plan shape (per dataset):
 * each UNIQUE column adds one partial aggregate (map-side combined, so a
   key holding a third of all rows costs one row per map task in the
   shuffle) and one left join of the duplicated keys back;
-* each REFERENCE flag finds the dangling keys on key-only data (distinct
+* each REFERENCE flag left joins the parent's keys where they are few
+  (``FEW_KEYS``); else it finds the dangling keys on key-only data (distinct
   keys anti-joined with the parent's keys) and left joins that exception
   set back.
 
 Exception sets are staged: written once under the shared checkpoint folder
 (``session.staged_copy``) while the plan is built.  A set that is small enough
 is then broadcast by the planner, which knows the file's size, and the rows of
-the dataset are not shuffled at all.  A large one is joined by sort-merge
-between plain scans or shuffles, the shape in which AQE splits a hot key's rows
-over tasks.  Null keys match nothing: in such a join they are dealt out by a hash of
-the row instead of meeting in one task.  No side is ever repeated.
+the dataset are not shuffled at all.  A large one is matched with the key and
+the number of each row where the rows have numbers (``numbered``): only these two
+columns are shuffled, and the numbers found come back as bits, one a row.  Rows
+without numbers are joined to it by sort-merge.  Both joins are between plain scans
+or shuffles, the shape in which AQE splits a hot key's rows over tasks.  Null keys
+match nothing: they are left out of the first join and in the second dealt out by a
+hash of the row instead of meeting in one task.  No side is ever repeated.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.rules import Rule, condition, duplicate_flag_column, failure_reasons, validate
-from salesmart.session import staged_copy, staged_together
+from salesmart.session import staged_copy
 
 # Parts that rows with a null key are dealt to in the joins back; other rows are in part 0.
 NULL_PARTS = 1024
 _PART = "_dq_part"
 
+# The number of a row (``numbered``), and where the bits of the rows are: row n has bit
+# n % 64 of word n / 64 % WORDS in block n / (64 * WORDS).
+ROW = "_dq_row"
+_BLOCK = "_dq_block"
+WORDS = 8
+# Up to so many keys a set is left to the planner, which joins it without a shuffle of the rows.
+FEW_KEYS = 200_000
+# Up to so many blocks (of 72 bytes) are broadcast; more are joined by block number, evenly.
+MANY_BLOCKS = 1_000_000
+
 PASSED = "PASSED"
 REJECTED = "REJECTED"
 
@@ -122,18 +137,91 @@ def join_back(df: DataFrame, exceptions: DataFrame, key: str) -> DataFrame:
     return df.withColumn(_PART, part).join(exceptions.withColumn(_PART, F.lit(0)), on=[key, _PART], how="left").drop(_PART)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a number for each row (``ROW``).  The numbers hold only in
+    rows that have been written: stage them before use."""
+
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _row_bit() -> tuple:
+    """Of a row's number: its block, the word in the block, the bit in the word."""
+
+    row = _quoted(ROW)
+    return F.shiftright(row, 9), F.shiftright(row, 6).bitwiseAND(F.lit(WORDS - 1)), row.bitwiseAND(F.lit(63)).cast("int")
+
+
+def row_marks(df: DataFrame, exceptions: DataFrame, key: str, flag: str) -> DataFrame:
+    """The rows of ``df`` (numbered, staged) whose key is among ``exceptions``, as
+    blocks of bits.  Only the key and the number of each row are shuffled."""
+
+    block, word, bit = _row_bit()
+    rows = df.select(_quoted(key), _quoted(ROW)).where(_quoted(key).isNotNull())
+    found = rows.join(exceptions.select(_quoted(key)), on=key, how="left_semi")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = [F.bit_or(F.when(word == i, one).otherwise(F.lit(0).cast("long"))).alias(_word(flag, i)) for i in range(WORDS)]
+    return found.groupBy(block.alias(_BLOCK)).agg(*words)
+
+
+def _word(flag: str, i: int) -> str:
+    return f"{flag}__w{i}"
+
+
+def join_marks(df: DataFrame, marks: DataFrame, key: str, flag: str) -> DataFrame:
+    """``df`` with ``flag``: TRUE in the rows that ``marks`` has, else NULL.  As
+    after a join on the key, that column comes first."""
+
+    block, word, bit = _row_bit()
+    small = marks.count() <= MANY_BLOCKS
+    out = df.withColumn(_BLOCK, block).join(F.broadcast(marks) if small else marks, on=_BLOCK, how="left")
+    bits = F.coalesce(*[F.when(word == i, _quoted(_word(flag, i))) for i in range(WORDS)])
+    others = [_quoted(c) for c in df.columns if c != key]
+    return out.select(_quoted(key), *others, F.when(F.getbit(bits, bit) == 1, F.lit(True)).alias(flag))
+
+
+def flag_back(df: DataFrame, exceptions: DataFrame, key: str, flag: str) -> DataFrame:
+    """``df`` with ``flag`` of a staged set: of keys, or of marked rows."""
+
+    return join_marks(df, exceptions, key, flag) if _BLOCK in exceptions.columns else join_back(df, exceptions, key)
+
+
 ExceptionSets = dict[tuple[str, str], DataFrame]
 
 
 def exception_sets(df: DataFrame, rules: Iterable[Rule], references: Sequence[tuple[str, DataFrame, str]] = ()) -> ExceptionSets:
     """All staged sets that a dataset's UNIQUE rules and references join back:
-    each is an aggregate over key-only data, and their jobs run side by side."""
+    each is an aggregate over key-only data, and their jobs run side by side.
+
+    ``("duplicate", key)``: the duplicated keys; for a reference either
+    ``("known", flag)``, the parent's keys where they are few, or ``("dangling",
+    flag)``.  A large set of a numbered ``df`` becomes the marks of its rows."""
+
+    def duplicates(key):
+        found = staged_copy(duplicate_keys(df, key), "duplicate-keys")
+        return ("duplicate", key), _of_rows(df, found, key, duplicate_flag_column(key))
+
+    def reference(key, parent, flag):
+        known = staged_copy(_distinct(parent, key).withColumn(flag, F.lit(True)), "parent-keys")
+        if known.count() <= FEW_KEYS:
+            return ("known", flag), known
+        found = staged_copy(dangling_keys(df, key, known, _marker(flag)), "dangling-keys")
+        return ("dangling", flag), _of_rows(df, found, key, _marker(flag))
 
     unique = dict.fromkeys(r.column_name for r in rules if r.rule_type == "UNIQUE")
-    wanted = {("duplicate", key): duplicate_keys(df, key) for key in unique}
-    wanted |= {("dangling", flag): dangling_keys(df, key, parent, _marker(flag)) for key, parent, flag in references}
-    staged = staged_together([(found, f"{kind}-keys") for (kind, _), found in wanted.items()])
-    return dict(zip(wanted, staged, strict=True))
+    wanted = [(duplicates, (key,)) for key in unique] + [(reference, r) for r in references]
+    if not wanted:
+        return {}
+    with ThreadPoolExecutor(min(4, len(wanted))) as pool:
+        return dict(pool.map(lambda w: w[0](*w[1]), wanted))
+
+
+def _of_rows(df: DataFrame, found: DataFrame, key: str, flag: str) -> DataFrame:
+    """The staged keys ``found``, or the marks of their rows where that spares a
+    shuffle of all columns."""
+
+    if ROW not in df.columns or found.count() <= FEW_KEYS:
+        return found
+    return staged_copy(row_marks(df, found, key, flag), "row-marks", "zstd")
 
 
 def _marker(flag: str) -> str:
@@ -146,10 +234,10 @@ def add_duplicate_flags(df: DataFrame, keys: Iterable[str], sets: ExceptionSets
     out, columns = df, list(df.columns)
     keys = list(dict.fromkeys(keys))
     if sets is None:
-        sets = dict(zip([("duplicate", k) for k in keys], staged_together([(duplicate_keys(df, k), "duplicate-keys") for k in keys]), strict=True))
+        sets = exception_sets(df, [Rule("UNIQUE", k, "DUPLICATE") for k in keys])
     for key in keys:
         flag = duplicate_flag_column(key)
-        out = join_back(out, sets["duplicate", key], key)
+        out = flag_back(out, sets["duplicate", key], key, flag)
         columns.append(flag)
     return out.select(*[_quoted(c) for c in columns])
 
@@ -162,11 +250,14 @@ def dangling_keys(df: DataFrame, key: str, parent: DataFrame, marker: str = "_dq
     the rows of ``df``.
     """
 
-    used = df.select(_quoted(key).alias(key)).where(_quoted(key).isNotNull()).distinct()
-    known = parent.select(_quoted(key).alias(key)).where(_quoted(key).isNotNull()).distinct()
+    used, known = _distinct(df, key), _distinct(parent, key)
     return used.join(known, on=key, how="left_anti").select(_quoted(key), F.lit(True).alias(marker))
 
 
+def _distinct(df: DataFrame, key: str) -> DataFrame:
+    return df.select(_quoted(key).alias(key)).where(_quoted(key).isNotNull()).distinct()
+
+
 REFERENCE_STRATEGIES = ("exceptions", "join")
 
 
@@ -180,8 +271,9 @@ def flag_references(
     among the parent's keys and NULL otherwise (also for a NULL key).
 
     ``strategy="exceptions"`` (for table-backed inputs, the default): the
-    *dangling* keys (used but unknown) are found on key-only data, staged, and
-    left joined back.  A parent rejected for any reason makes all its rows
+    parent's keys are staged; few (``FEW_KEYS``) are left joined as they are.
+    Else the *dangling* keys (used but unknown) are found on key-only data,
+    staged, and joined back.  A parent rejected for any reason makes all its rows
     dangle, so the set can be large; see the module's text for both cases.  The
     key-only branch re-reads ``df``: a columnar scan when ``df`` is a table.
 
@@ -200,12 +292,14 @@ def flag_references(
         sets = exception_sets(df, [], references)
     for key, parent, flag in references:
         if strategy == "join":
-            keys = parent.select(_quoted(key)).where(_quoted(key).isNotNull()).distinct()
-            out = join_back(out, staged_copy(keys.withColumn(flag, F.lit(True)), "parent-keys"), key)
+            out = join_back(out, staged_copy(_distinct(parent, key).withColumn(flag, F.lit(True)), "parent-keys"), key)
+            continue
+        if ("known", flag) in sets:
+            out = join_back(out, sets["known", flag], key)
             continue
         marker = _marker(flag)
         out = (
-            join_back(out, sets["dangling", flag], key)
+            flag_back(out, sets["dangling", flag], key, marker)
             .withColumn(flag, F.when(_quoted(key).isNotNull() & _quoted(marker).isNull(), F.lit(True)))
             .drop(marker)
         )
@@ -276,17 +370,19 @@ def rule_failure_counts(
     df: DataFrame,
     rules: Iterable[Rule | Mapping],
     as_of: _dt.date | None = None,
+    sets: ExceptionSets | None = None,
 ) -> DataFrame:
     """One row per rule: its id, dataset, type, column, reason and the number
     of rows failing it.
 
     All rules are counted in ONE aggregate over the data (a single scan
-    and one partial/final aggregation), then unpivoted into rows.
+    and one partial/final aggregation), then unpivoted into rows.  ``sets``:
+    exception sets at hand, of the same rows.
     """
 
     rules = [validate(Rule.of(r)) for r in rules]
     unique_keys = [r.column_name for r in rules if r.rule_type == "UNIQUE"]
-    work = add_duplicate_flags(df, unique_keys) if unique_keys else df
+    work = add_duplicate_flags(df, unique_keys, sets) if unique_keys else df
     counts = work.agg(*[
         F.count_if(~F.coalesce(condition(r, as_of), F.lit(False))).alias(f"_n{i}")
         for i, r in enumerate(rules)

@@ -263,3 +263,42 @@ def test_shipped_rules_per_dataset_and_type(spark):
     assert rules.where("rule_type = 'UNIQUE'").select("dataset_name").distinct().count() == 3
     order = [(r["rule_order"], r["rule_id"]) for r in active_rules_df(rules, "orders").collect()]
     assert order == sorted(order)
+
+
+def test_large_exception_sets_come_back_as_marks_of_numbered_rows(spark, monkeypatch):
+    """The rows are not shuffled, and each flag is that of the join on keys; null
+    keys, keys of many rows and rows of several files included."""
+
+    from salesmart.operators import quality
+    from salesmart.session import session_conf, staged_copy
+
+    n = 30_000
+    rows = spark.range(0, n, 1, 5).select(
+        F.col("id").alias("v"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 17_000).alias("k"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 1009).cast("string")).alias("p"),
+    )
+    parent = spark.range(0, 1009, 3).select(F.col("id").cast("string").alias("p"))
+    numbered = staged_copy(quality.numbered(rows), "numbered")
+    rules = [Rule("UNIQUE", "k", "TWICE"), Rule("REFERENCE", "p", "NO_PARENT", "known")]
+
+    def checked(df):
+        sets = quality.exception_sets(df, rules, [("p", parent, "known")])
+        flagged = flag_references(df, [("p", parent, "known")], sets=sets)
+        return sets, annotate(flagged, rules, sets=sets)
+
+    few, plain = checked(rows)
+    assert set(few) == {("duplicate", "k"), ("known", "known")}
+    monkeypatch.setattr(quality, "FEW_KEYS", 0)
+    many, marked = checked(numbered)
+    assert set(many) == {("duplicate", "k"), ("dangling", "known")} and all(quality._BLOCK in s.columns for s in many.values())
+    columns = ["v", "k", "p", "known", "dq_failure_reasons", "dq_status"]
+    want = sorted(map(tuple, plain.select(columns).collect()))
+    assert plain.columns == [c for c in marked.columns if c != quality.ROW]
+    assert len(want) == n and 0 < sum(r[-1] == "PASSED" for r in want) < n
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        again = checked(numbered)[1]
+        assert "hashpartitioning" not in again._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, again.select(columns).collect())) == want
+    monkeypatch.setattr(quality, "MANY_BLOCKS", 0)  # more blocks than are broadcast
+    assert sorted(map(tuple, checked(numbered)[1].select(columns).collect())) == want
