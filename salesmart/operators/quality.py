@@ -311,15 +311,21 @@ def annotate(
     rules: Iterable[Rule | Mapping],
     as_of: _dt.date | None = None,
     sets: ExceptionSets | None = None,
+    passed_only: bool = False,
 ) -> DataFrame:
     """Append ``dq_failure_reasons`` (array<string>, ordered set), ``dq_status``
     (PASSED iff no reason) and ``dq_checked_timestamp``.  ``sets``: exception
-    sets at hand, of the same rows."""
+    sets at hand, of the same rows.  ``passed_only``: the rows without a reason, by
+    a filter for each rule, which is taken to the scan or join that has its columns
+    and ends at a row's first failing rule (for a ``df`` that is a plain scan: the
+    filters would repeat the expressions of a derived column)."""
 
     rules = [validate(Rule.of(r)) for r in rules]
     columns = list(df.columns)
     unique_keys = [r.column_name for r in rules if r.rule_type == "UNIQUE"]
     work = add_duplicate_flags(df, unique_keys, sets) if unique_keys else df
+    for rule in rules if passed_only else ():
+        work = work.where(condition(rule, as_of))
     with_reasons = work.select(
         *[_quoted(c) for c in columns],
         failure_reasons(rules, as_of).alias("dq_failure_reasons"),
