@@ -52,6 +52,9 @@ FEW_KEYS = 200_000
 # Up to so many blocks (of 72 bytes) are broadcast; more are joined by block number, evenly.
 MANY_BLOCKS = 1_000_000
 
+# Rules that take longest for a row: they match or parse its text.
+PATTERN_TYPES = ("REGEX", "VALID_CUSTOMER_NAME", "DATE_FORMAT")
+
 PASSED = "PASSED"
 REJECTED = "REJECTED"
 
@@ -127,13 +130,19 @@ def join_back(df: DataFrame, exceptions: DataFrame, key: str) -> DataFrame:
     """``df`` left joined to the staged ``exceptions`` (one row a key).
 
     Rows with a null key, which match nothing, are dealt to ``NULL_PARTS``
-    parts by a hash of their other columns (so a retried task deals them
-    alike)."""
+    parts by their number, else by a hash of their other columns (so a retried
+    task deals them alike).  A number spares the scan what no one else reads."""
 
+    if ROW in df.columns:
+        return _join_parts(df, exceptions, key, _quoted(ROW))
     others = [_quoted(f.name) for f in df.schema.fields if f.name != key and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     if not others:
         return df.join(exceptions, on=key, how="left")
-    part = F.when(_quoted(key).isNull(), F.pmod(F.xxhash64(*others), F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
+    return _join_parts(df, exceptions, key, F.xxhash64(*others))
+
+
+def _join_parts(df: DataFrame, exceptions: DataFrame, key: str, deal) -> DataFrame:
+    part = F.when(_quoted(key).isNull(), F.pmod(deal, F.lit(NULL_PARTS))).otherwise(F.lit(0)).cast("int")
     return df.withColumn(_PART, part).join(exceptions.withColumn(_PART, F.lit(0)), on=[key, _PART], how="left").drop(_PART)
 
 
@@ -324,7 +333,8 @@ def annotate(
     columns = list(df.columns)
     unique_keys = [r.column_name for r in rules if r.rule_type == "UNIQUE"]
     work = add_duplicate_flags(df, unique_keys, sets) if unique_keys else df
-    for rule in rules if passed_only else ():
+    # patterns are matched last, in the rows that pass all else
+    for rule in sorted(rules, key=lambda r: r.rule_type in PATTERN_TYPES) if passed_only else ():
         work = work.where(condition(rule, as_of))
     with_reasons = work.select(
         *[_quoted(c) for c in columns],

@@ -134,21 +134,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    o = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
-    )
-    df = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    o = _table(spark, sf_dir, "orders")
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    flag, qty = F.col("l_returnflag"), F.col("l_quantity")
     order_day = F.when((priority == "2-HIGH") & (status == "P"), F.add_months(F.col("o_orderdate"), 480)).otherwise(
         F.col("o_orderdate")
     )
-    money = F.col("l_extendedprice").cast("decimal(18,2)") * (
-        F.lit(0.05).cast("decimal(3,2)") + F.col("l_tax").cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    )
-    line = F.col("l_linenumber")
-    out = df.select(
-        (F.col("l_orderkey") * 10 + line).alias("row_id"),
+    # made once an order, not for each of its lines
+    heads = o.select(
+        "o_orderkey",
         F.concat(
             F.when((priority == "5-LOW") & (status == "P"), F.lit("MX")).when(status == "O", F.lit("us")).otherwise(F.lit("CA")),
             F.lit("-"),
@@ -159,6 +152,18 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((priority == "1-URGENT") & (status == "P"), F.date_format(order_day, "yyyy-MM-dd"))
         .otherwise(F.date_format(order_day, "d/M/yyyy"))
         .alias("order_date"),
+        customer_key_text(F.col("o_custkey")).alias("customer_id"),
+    )
+    df = li.join(heads, li.l_orderkey == heads.o_orderkey, "inner")
+    flag, qty = F.col("l_returnflag"), F.col("l_quantity")
+    money = F.col("l_extendedprice").cast("decimal(18,2)") * (
+        F.lit(0.05).cast("decimal(3,2)") + F.col("l_tax").cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
+    )
+    line = F.col("l_linenumber")
+    out = df.select(
+        (F.col("l_orderkey") * 10 + line).alias("row_id"),
+        "order_id",
+        "order_date",
         F.when((flag == "R") & (F.col("l_linestatus") == "F") & (qty >= 48), F.lit("  "))
         .otherwise(F.date_format("l_shipdate", "d/M/yyyy"))
         .alias("ship_date"),
@@ -171,7 +176,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "A", "Drone")
         .otherwise("First Class")
         .alias("ship_mode"),
-        customer_key_text(F.col("o_custkey")).alias("customer_id"),
+        "customer_id",
         product_key_text(product_prefix(F.col("l_partkey")), F.col("l_partkey")).alias("product_id"),
         F.when((qty == 50) & (flag == "N"), F.lit(0)).otherwise(qty.cast("int")).alias("quantity"),
         F.col("l_extendedprice").alias("price"),
