@@ -28,7 +28,7 @@ hash of the row instead of meeting in one task.  No side is ever repeated.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -195,22 +195,30 @@ def flag_back(df: DataFrame, exceptions: DataFrame, key: str, flag: str) -> Data
 
 
 ExceptionSets = dict[tuple[str, str], DataFrame]
+# A parent dataset, or what gives it once it is there; a foreign key, its parent, its flag.
+Parent = DataFrame | Callable[[], DataFrame]
+Reference = tuple[str, Parent, str]
 
 
-def exception_sets(df: DataFrame, rules: Iterable[Rule], references: Sequence[tuple[str, DataFrame, str]] = ()) -> ExceptionSets:
+def _given(parent: Parent) -> DataFrame:
+    return parent if isinstance(parent, DataFrame) else parent()
+
+
+def exception_sets(df: DataFrame, rules: Iterable[Rule], references: Sequence[Reference] = ()) -> ExceptionSets:
     """All staged sets that a dataset's UNIQUE rules and references join back:
     each is an aggregate over key-only data, and their jobs run side by side.
 
     ``("duplicate", key)``: the duplicated keys; for a reference either
     ``("known", flag)``, the parent's keys where they are few, or ``("dangling",
-    flag)``.  A large set of a numbered ``df`` becomes the marks of its rows."""
+    flag)``.  A large set of a numbered ``df`` becomes the marks of its rows.  Only
+    the references wait for a parent that is not there yet."""
 
     def duplicates(key):
         found = staged_copy(duplicate_keys(df, key), "duplicate-keys")
         return ("duplicate", key), _of_rows(df, found, key, duplicate_flag_column(key))
 
     def reference(key, parent, flag):
-        known = staged_copy(_distinct(parent, key).withColumn(flag, F.lit(True)), "parent-keys")
+        known = staged_copy(_distinct(_given(parent), key).withColumn(flag, F.lit(True)), "parent-keys")
         if known.count() <= FEW_KEYS:
             return ("known", flag), known
         found = staged_copy(dangling_keys(df, key, known, _marker(flag)), "dangling-keys")
@@ -272,7 +280,7 @@ REFERENCE_STRATEGIES = ("exceptions", "join")
 
 def flag_references(
     df: DataFrame,
-    references: Sequence[tuple[str, DataFrame, str]],
+    references: Sequence[Reference],
     strategy: str = "exceptions",
     sets: ExceptionSets | None = None,
 ) -> DataFrame:
@@ -301,7 +309,7 @@ def flag_references(
         sets = exception_sets(df, [], references)
     for key, parent, flag in references:
         if strategy == "join":
-            out = join_back(out, staged_copy(_distinct(parent, key).withColumn(flag, F.lit(True)), "parent-keys"), key)
+            out = join_back(out, staged_copy(_distinct(_given(parent), key).withColumn(flag, F.lit(True)), "parent-keys"), key)
             continue
         if ("known", flag) in sets:
             out = join_back(out, sets["known", flag], key)

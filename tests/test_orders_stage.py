@@ -128,3 +128,21 @@ def test_check_times_of_the_datasets_are_made_side_by_side_and_each_is_checked_o
     got = sorted(map(tuple, views_module.check_times(views).collect()))
     assert got == [("customers", True, 2), ("orders", True, 2), ("products", True, 2)]
     assert max(most) == 3 and len(checked) == 3
+
+
+def test_duplicates_are_found_while_a_parent_is_not_there_yet(spark, monkeypatch):
+    found, real = threading.Event(), quality.duplicate_keys
+    monkeypatch.setattr(quality, "duplicate_keys", lambda *a: found.set() or real(*a))
+    orders = spark.createDataFrame([(i % 4, "US-2019-1", c, "P", 1.0, 1.0, None) for i, c in enumerate("AABC")] + [(0, None, "A", "P", 1.0, 1.0, None)], ORDERS)
+
+    def parent():
+        assert found.wait(60), "the duplicates wait for the parent"
+        return spark.createDataFrame([("A",), ("C",)], "customer_id string")
+
+    rules = [Rule("UNIQUE", "row_id", "TWICE"), Rule("REFERENCE", "customer_id", "UNKNOWN", "known")]
+    references = [("customer_id", parent, "known")]
+    for strategy in quality.REFERENCE_STRATEGIES:
+        sets = quality.exception_sets(orders, rules, references if strategy == "exceptions" else ())
+        flagged = quality.flag_references(orders, references, strategy, sets)
+        got = [(r["row_id"], r["customer_id"], r["dq_failure_reasons"]) for r in quality.annotate(flagged, rules, None, sets).collect()]
+        assert sorted(got) == [(0, "A", ["TWICE"]), (0, "A", ["TWICE"]), (1, "A", []), (2, "B", ["UNKNOWN"]), (3, "C", [])]
